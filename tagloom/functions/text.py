@@ -70,7 +70,8 @@ def normalise_text(text):
     text = F.regexp_replace(text, URL, " ")
     text = F.regexp_replace(text, f"@{WORD_CHAR}+", " ")
     text = F.regexp_replace(text, f"#({WORD_CHAR}+)", "$1")
-    text = F.regexp_replace(text, f"(?<!{WORD_CHAR})rt(?!{WORD_CHAR})", " ")
+    # Looking back after the literal lets the engine search for the literal first.
+    text = F.regexp_replace(text, f"rt(?<!{WORD_CHAR}rt)(?!{WORD_CHAR})", " ")
     # Everything but a-z turns into a blank and blanks collapse: one pass does both.
     return F.trim(F.regexp_replace(text, "[^a-z]+", " "))
 
@@ -111,9 +112,18 @@ def digit_class():
     return "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges) + "]"
 
 
-def structural_features(text):
-    """The thirteen numbers describing a raw text, keyed by feature name."""
+def single_spaced(text):
+    """Words of a text with one blank between them."""
+    return F.trim(F.regexp_replace(_col(text), f"[{SPACE_CHARS}]+", " "))
+
+
+def structural_features(text, spaced=None):
+    """The thirteen numbers describing a raw text, keyed by feature name.
+
+    ``spaced`` names a column that already holds ``single_spaced(text)``.
+    """
     text = _col(text)
+    spaced = single_spaced(text) if spaced is None else _col(spaced)
 
     def count(pattern):
         return F.regexp_count(text, F.lit(pattern))
@@ -121,26 +131,27 @@ def structural_features(text):
     def ratio(num, den):
         return F.coalesce(F.try_divide(num.cast("double"), den), F.lit(0.0))
 
-    words = count(f"{NON_SPACE}+")
-    non_space_chars = F.length(F.regexp_replace(text, f"[{SPACE_CHARS}]+", ""))
-    distinct = F.array_distinct(F.split(F.lower(text), f"[{SPACE_CHARS}]+"))
-    n_distinct = F.size(F.array_remove(distinct, ""))
+    blanks = count_char(spaced, " ")
+    words = F.when(spaced == "", 0).otherwise(blanks + 1)
+    n_distinct = F.size(F.array_distinct(F.split(F.lower(spaced), " ")))
+    n_distinct = F.when(spaced == "", 0).otherwise(n_distinct)
     letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
-    capitals = F.length(F.regexp_replace(text, r"[^\p{Lu}]+", ""))
+    # Digits are rare: drop the other ASCII characters first, then test what is left.
+    digits = F.regexp_replace(text, r"[\x00-\x2f\x3a-\x7f]+", "")
     capital_words = rf"(?:^|{NON_WORD_CHAR})[A-Z]{{2,}}+(?!{WORD_CHAR})"
     columns = (
         F.length(text),
         words,
-        ratio(non_space_chars, words),
+        ratio(F.length(spaced) - blanks, words),
         ratio(n_distinct, words),
         count_char(text, "!"),
         count_char(text, "?"),
         count(f"#{WORD_CHAR}+"),
         count(f"@{WORD_CHAR}+"),
         count(URL),
-        count(digit_class()),
+        F.regexp_count(digits, F.lit(digit_class())),
         count(capital_words),
-        ratio(capitals, letters),
+        ratio(count(r"\p{Lu}"), letters),
         # (?d): only \n ends a line, as for Python's dot.
         count(r"(?d)(.)\1{2,}"),
     )
@@ -170,4 +181,5 @@ def with_clean_text(df, text="text", drop_empty=True):
 
 
 def with_structural_features(df, text="text"):
-    return df.withColumns(structural_features(text))
+    spaced = df.withColumn("_spaced", single_spaced(text))
+    return spaced.withColumns(structural_features(text, "_spaced")).drop("_spaced")

@@ -28,12 +28,13 @@ def hash_fraction_number(key, seed=SEED):
 def cut_points(df, key, group, positions, seed=SEED):
     """Hash and key of the row standing at each wanted position of each group.
 
-    ``positions`` maps a cut name to an expression over ``n`` (rows of the group).
+    ``positions`` maps a cut name to an expression over ``n`` (rows of the group). Keys and
+    groups are kept between the two jobs, so whatever ``df`` computes runs once here.
     """
     hashed = df.select(F.col(group).alias("_g"), F.col(key).alias("_k")).withColumn(
         "_h", hash_key("_k", seed)
     )
-    hashed = hashed.withColumn("_p", F.substring("_h", 1, PREFIX_LENGTH))
+    hashed = hashed.withColumn("_p", F.substring("_h", 1, PREFIX_LENGTH)).persist()
     per_prefix = hashed.groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_c"))
     by_prefix = Window.partitionBy("_g").orderBy("_p")
     totals = per_prefix.select(
@@ -57,17 +58,20 @@ def cut_points(df, key, group, positions, seed=SEED):
     ranked = narrow.withColumn(
         "rn", F.row_number().over(Window.partitionBy("_g", "_p").orderBy("_h", "_k"))
     )
-    return ranked.join(holding, ["_g", "_p"]).where("rn = nth").groupBy("_g").agg(
+    points = ranked.join(holding, ["_g", "_p"]).where("rn = nth").groupBy("_g").agg(
         *(
             F.max(F.when(F.col("i") == i, F.struct("_h", "_k"))).alias(name)
             for i, name in enumerate(positions)
         )
     )
+    points = small_side(points)
+    hashed.unpersist()
+    return points
 
 
 def with_cut_number(df, key, group, positions, out, seed=SEED):
     """Number of cuts a row lies behind, 0 for rows up to the first cut."""
-    points = small_side(cut_points(df, key, group, positions, seed))
+    points = cut_points(df, key, group, positions, seed)
     here = F.struct(hash_key(key, seed).alias("_h"), F.col(key).alias("_k"))
     # A missing cut point means position 0: every row lies behind it.
     behind = [F.when(F.col(c).isNull() | (here > F.col(c)), 1).otherwise(0) for c in positions]

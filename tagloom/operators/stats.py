@@ -4,8 +4,9 @@ Quantiles and bins work on (value, rows) counts: one map-side combined aggregati
 the data first, and everything after it is proportional to the number of distinct values.
 """
 
-from itertools import combinations
-
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import functions as F
 
 from tagloom.functions.votes import agreement, name_of
@@ -127,46 +128,28 @@ def mean_by_class(df, value, out, group="class_name"):
     return df.groupBy(group).agg(F.avg(value).alias(out))
 
 
-def pearson_row(df, columns, absolute=False):
-    """Means of products of all column pairs in one global aggregation (one row out).
+def correlation(df, columns, absolute=False):
+    """Pearson matrix in long form: one row per ordered pair of columns.
 
-    A constant column has no correlation: NULL rather than an error.
+    The matrix is gathered in one distributed pass of rank-one updates and has
+    ``len(columns)`` squared cells. A constant column has no correlation (NULL).
     """
-    spreads = [F.stddev_pop(c).alias(f"_sd_{c}") for c in columns]
-    pairs = [
-        F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_cov_{a}__{b}")
-        for a, b in combinations(columns, 2)
-    ]
-    row = df.agg(*spreads, *pairs)
-
-    def r(a, b):
-        if a == b:
-            return F.when(F.col(f"_sd_{a}") > 0, F.lit(1.0))
-        first, second = sorted((a, b), key=columns.index)
-        value = F.try_divide(
-            F.col(f"_cov_{first}__{second}"), F.col(f"_sd_{first}") * F.col(f"_sd_{second}")
-        )
-        return F.abs(value) if absolute else value
-
-    return row, r
-
-
-def correlation(df, columns, absolute=False):
-    """Pearson matrix in long form: one row per ordered pair of columns."""
     columns = list(columns)
-    row, r = pearson_row(df, columns, absolute)
-    cells = [
-        F.struct(
-            F.lit(i).alias("i"),
-            F.lit(j).alias("j"),
-            F.lit(a).alias("feature_a"),
-            F.lit(b).alias("feature_b"),
-            r(a, b).alias("r"),
-        )
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
-    ]
-    return row.select(F.inline(F.array(*cells)))
+    numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
+    rows = VectorAssembler(inputCols=columns, outputCol="v").transform(numbers)
+    matrix = Correlation.corr(rows.select("v"), "v").first()[0].toArray()
+    constant = set()
+    if np.isnan(matrix).any():
+        ends = numbers.agg(*(F.min(c) == F.max(c) for c in columns)).first()
+        constant = {i for i, same in enumerate(ends) if same}
+    cells = []
+    for i, a in enumerate(columns):
+        for j, b in enumerate(columns):
+            r = None if {i, j} & constant else float(abs(matrix[i, j]) if absolute else matrix[i, j])
+            cells.append((i, j, a, b, r))
+    return df.sparkSession.createDataFrame(
+        cells, "i int, j int, feature_a string, feature_b string, r double"
+    )
 
 
 def correlation_matrix(long_form, columns):

@@ -7,6 +7,7 @@ shuffle text; the bounded vocabulary travels to the tasks instead.
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
@@ -146,6 +147,7 @@ class TfIdf:
 
     terms: list
     idf: list
+    stop_words: tuple = tuple(ENGLISH_STOP_WORDS)
 
     @classmethod
     def fit(cls, df, clean="clean_text", min_df=5, max_features=5000, stop_words=ENGLISH_STOP_WORDS):
@@ -156,13 +158,16 @@ class TfIdf:
         # At most max_features rows reach the driver: they are the model itself.
         rows = vocabulary.select("term_no", "term", smooth_idf("df", n_docs).alias("idf")).collect()
         rows.sort(key=lambda r: r["term_no"])
-        return cls([r["term"] for r in rows], [float(r["idf"]) for r in rows])
+        return cls([r["term"] for r in rows], [float(r["idf"]) for r in rows], tuple(stop_words))
 
-    def transform(self, df, clean="clean_text", out="tfidf"):
-        """Add the unit-length sparse vector of (1 + ln tf) * idf weights; no shuffle."""
+    def transform(self, df, clean="clean_text", out="tfidf", drop=()):
+        """Add the unit-length sparse vector of (1 + ln tf) * idf weights; no shuffle.
+
+        Columns named in ``drop`` (such as the texts) are left behind before the Arrow step.
+        """
         counted = CountVectorizerModel.from_vocabulary(
             self.terms, inputCol="_terms", outputCol="_counts"
-        ).transform(with_terms(df, clean, out="_terms")).drop("_terms")
+        ).transform(with_terms(df, clean, self.stop_words, "_terms")).drop("_terms", *drop)
         weighted = _map_sparse_values(counted, "_counts", "_tf", lambda v: F.log(v) + 1.0)
         weighted = ElementwiseProduct(
             scalingVec=Vectors.dense(self.idf), inputCol="_tf", outputCol="_w"
@@ -175,11 +180,13 @@ class TfIdf:
         """The same weights as rows (key, term, weight)."""
         vectors = F.unwrap_udt("_v")
         pairs = F.arrays_zip(vectors["indices"].alias("i"), vectors["values"].alias("w"))
-        names = F.array(*map(F.lit, self.terms))
+        names = pa.table({"i": pa.array(range(len(self.terms)), pa.int32()), "term": self.terms})
+        names = df.sparkSession.createDataFrame(names)  # bounded by the vocabulary size
         return (
-            self.transform(df, clean, "_v")
+            self.transform(df.select(key, clean), clean, "_v", drop=[clean])
             .select(key, F.inline(pairs).alias("i", "weight"))
-            .select(key, F.element_at(names, F.col("i") + 1).alias("term"), "weight")
+            .join(F.broadcast(names), "i")
+            .select(key, "term", "weight")
         )
 
 
