@@ -174,10 +174,17 @@ def exploratory_features(text, word_count):
 
 
 def with_clean_text(df, text="text", drop_empty=True):
-    """Add ``clean_text`` and ``clean_word_count``; rows cleaned to nothing are dropped."""
-    out = df.withColumn("clean_text", clean_text(text))
-    out = out.withColumn("clean_word_count", clean_word_count("clean_text"))
-    return out.where(F.length("clean_text") > 0) if drop_empty else out
+    """Add ``clean_text`` and ``clean_word_count``; rows cleaned to nothing are dropped.
+
+    Dropping works by exploding a one-or-none element array: a filter on the cleaned text
+    would be pushed below the projection and clean every text a second time.
+    """
+    kept = [c for c in df.columns if c not in ("clean_text", "clean_word_count")]
+    cleaned = F.coalesce(clean_text(text), F.lit(""))
+    if drop_empty:
+        cleaned = F.explode(F.array_remove(F.array(cleaned), ""))
+    out = df.select(*kept, cleaned.alias("clean_text"))
+    return out.withColumn("clean_word_count", clean_word_count("clean_text"))
 
 
 def with_structural_features(df, text="text"):

@@ -136,8 +136,10 @@ def correlation(df, columns, absolute=False):
     """
     columns = list(columns)
     numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    rows = VectorAssembler(inputCols=columns, outputCol="v").transform(numbers)
-    matrix = Correlation.corr(rows.select("v"), "v").first()[0].toArray()
+    rows = VectorAssembler(inputCols=columns, outputCol="v").transform(numbers).select("v")
+    rows.persist()  # read for the means and again for the products
+    matrix = Correlation.corr(rows, "v").first()[0].toArray()
+    rows.unpersist()
     constant = set()
     if np.isnan(matrix).any():
         ends = numbers.agg(*(F.min(c) == F.max(c) for c in columns)).first()

@@ -51,7 +51,7 @@ def checked_groups(spark, root):
        GROUP BY group_id""",
 )
 def label_requests(spark, root):
-    documents = src.table(spark, root, "documents").select("doc_id", "text")
+    documents = src.documents(spark, root)
     return labelling.build_requests(labelling.number_rows(documents, "doc_id"))
 
 

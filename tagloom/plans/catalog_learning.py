@@ -6,7 +6,7 @@ from tagloom.functions.arrays import truncate_tokens
 from tagloom.functions.text import clean_tokens
 from tagloom.operators import augment, evaluate, predictions, quality, runs, splits, terms
 from tagloom.plans.catalog import query
-from tagloom.plans.catalog_text import clean_items, split_items
+from tagloom.plans.catalog_text import clean_items, split_items, staged_items
 from tagloom.plans.oracle_parts import CLEAN, LOADED, SCORED, SPLIT, clean_sql, terms_cte
 from tagloom.session import scratch_table_path
 from tagloom.sources import driver_tables as src
@@ -48,7 +48,7 @@ def split_store(spark, root):
        AS v(first_split, second_split, n_shared)""",
 )
 def split_disjoint(spark, root):
-    parts = split_items(spark, root)
+    parts = staged_items(spark, root).select("tweet_id", "split")
     out = None
     for a, b in (("train", "validation"), ("train", "test"), ("validation", "test")):
         shared = quality.leaked_keys(parts.where(F.col("split") == a), parts.where(F.col("split") == b))
@@ -131,7 +131,7 @@ augmented AS (
 
 
 def rare_rows(spark, root):
-    train = split_items(spark, root).where("split = 'train'").drop("split")
+    train = staged_items(spark, root).where("split = 'train'").drop("split")
     batched = augment.rare_class_batches(train)
     return train, augment.quote(augment.assign_template(batched))
 
@@ -244,7 +244,7 @@ def max_token_length(spark, root):
     [SPLIT, VOCAB],
 )
 def encode_pad(spark, root):
-    items = split_items(spark, root)
+    items = staged_items(spark, root)
     train = items.where("split = 'train'")
     max_len = terms.max_token_length(train).first()["max_len"]
     ids = terms.encode(items, terms.build_vocabulary(train), max_len)
@@ -275,7 +275,7 @@ _CLEAN_DOCS = f"""docs AS (SELECT doc_id, {clean_sql('text')} AS clean_text FROM
 def tfidf_vocab(spark, root):
     from tagloom.functions.text import clean_text
 
-    docs = src.table(spark, root, "documents").select("doc_id", clean_text("text").alias("clean_text"))
+    docs = src.documents(spark, root).select("doc_id", clean_text("text").alias("clean_text"))
     return terms.select_terms(terms.term_statistics(terms.with_terms(docs)))
 
 
@@ -289,7 +289,7 @@ def tfidf_vocab(spark, root):
     [SPLIT, terms_cte("train", "tweet_id", terms.ENGLISH_STOP_WORDS)],
 )
 def tfidf_weights(spark, root):
-    train = _train(spark, root)
+    train = staged_items(spark, root).where("split = 'train'")
     return terms.TfIdf.fit(train).weights(train)
 
 

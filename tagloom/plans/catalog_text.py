@@ -33,6 +33,11 @@ def split_items(spark, root):
     return stratified_split(clean_items(spark, root))
 
 
+def staged_items(spark, root):
+    """Split texts for plans that read them several times: each text is cleaned once."""
+    return stratified_split(clean_items(spark, root).persist())
+
+
 @query(
     "clean_text",
     "doc_id b, clean_text s, clean_word_count b",
@@ -40,7 +45,7 @@ def split_items(spark, root):
         FROM (SELECT doc_id, {clean_sql('text')} AS clean_text FROM documents) WHERE clean_text <> ''""",
 )
 def clean_documents(spark, root):
-    return with_clean_text(src.table(spark, root, "documents").select("doc_id", "text"))
+    return with_clean_text(src.documents(spark, root))
 
 
 _UNESCAPED = (
@@ -55,7 +60,7 @@ _UNESCAPED = (
     f"SELECT page_id, {clean_sql(_UNESCAPED)} AS clean_text FROM pages",
 )
 def clean_pages(spark, root):
-    pages = src.table(spark, root, "pages")
+    pages = src.pages(spark, root)
     return pages.select("page_id", clean_text("html").alias("clean_text"))
 
 
@@ -73,7 +78,7 @@ def clean_conversations(spark, root):
     SELECT count(*) FILTER (c <> '') AS n_kept, count(*) FILTER (c = '') AS n_dropped
     FROM (SELECT {clean_sql('text')} AS c FROM documents)""")
 def dropped_empty(spark, root):
-    cleaned = src.table(spark, root, "documents").select(clean_text("text").alias("clean"))
+    cleaned = src.documents(spark, root).select(clean_text("text").alias("clean"))
     return cleaned.agg(
         F.count_if(F.col("clean") != "").alias("n_kept"),
         F.count_if(F.col("clean") == "").alias("n_dropped"),
@@ -92,7 +97,7 @@ _KINDS = {"avg_word_len": "d", "unique_word_ratio": "d", "uppercase_ratio": "d"}
     + " FROM documents",
 )
 def document_features(spark, root):
-    return with_structural_features(src.table(spark, root, "documents").select("doc_id", "text"))
+    return with_structural_features(src.documents(spark, root))
 
 
 @query(
@@ -102,7 +107,7 @@ def document_features(spark, root):
     [runs_cte("documents", "doc_id", "text")],
 )
 def elongated_runs(spark, root):
-    documents = src.table(spark, root, "documents")
+    documents = src.documents(spark, root)
     return documents.select("doc_id", structural_features("text")["elongated_count"])
 
 
@@ -114,7 +119,7 @@ def elongated_runs(spark, root):
     + " FROM pages",
 )
 def page_features(spark, root):
-    pages = src.table(spark, root, "pages").select("page_id", "html")
+    pages = src.pages(spark, root).select("page_id", "html")
     return with_structural_features(pages, "html")
 
 
@@ -122,7 +127,7 @@ _DOC_STRUCTURAL = structural_cte("documents", "doc_id")
 
 
 def _document_features(spark, root):
-    return with_structural_features(src.table(spark, root, "documents").select("doc_id", "text"))
+    return with_structural_features(src.documents(spark, root))
 
 
 @query(
@@ -175,5 +180,8 @@ def correlated(spark, root):
 )
 def scale_structural(spark, root):
     # Fitted on the training rows only, applied to all three splits.
-    features = with_structural_features(split_items(spark, root))
+    features = with_structural_features(split_items(spark, root)).select(
+        "tweet_id", "split", *STRUCTURAL
+    )
+    features.persist()
     return Scaler.fit(features.where("split = 'train'"), STRUCTURAL).transform(features)

@@ -9,13 +9,32 @@ def table(spark, root, name):
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def text_table(spark, root, name, key):
+    """A table about to be processed text by text.
+
+    Stored as fewer files than there are cores it would be read by a handful of tasks, so
+    it is spread first. Tables of many files, as on a cluster, are left as they are.
+    """
+    df = table(spark, root, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
+def documents(spark, root):
+    return text_table(spark, root, "documents", "doc_id").select("doc_id", "text")
+
+
+def pages(spark, root):
+    return text_table(spark, root, "pages", "page_id").select("page_id", "url", "html")
+
+
 def raw_items(spark, root):
     """Labelled documents in the flat shape of the annotated CSV.
 
     Class: toxic texts 0, low quality 1, the rest 2. The panel size and its minority votes
     follow from the id, so that votes sum to the panel and the class is their maximum.
     """
-    joined = table(spark, root, "labels").join(table(spark, root, "documents"), "doc_id")
+    joined = table(spark, root, "labels").join(documents(spark, root), "doc_id")
     class_id = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
     panel = F.when(F.col("doc_id") % 20 == 0, 6).when(F.col("doc_id") % 33 == 0, 9).otherwise(3)
     minority = F.when(F.col("doc_id") % 3 == 0, 1).otherwise(0)
