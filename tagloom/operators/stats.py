@@ -136,9 +136,9 @@ def correlation(df, columns, absolute=False):
     """
     columns = list(columns)
     numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    rows = VectorAssembler(inputCols=columns, outputCol="v").transform(numbers).select("v")
+    rows = VectorAssembler(inputCols=columns, outputCol="_row").transform(numbers).select("_row")
     rows.persist()  # read for the means and again for the products
-    matrix = Correlation.corr(rows, "v").first()[0].toArray()
+    matrix = Correlation.corr(rows, "_row").first()[0].toArray()
     rows.unpersist()
     constant = set()
     if np.isnan(matrix).any():

@@ -2,8 +2,9 @@
 
 import json
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tagloom.schemas import CLASS_IDS, PREDICTIONS
 
@@ -129,7 +130,7 @@ def load_results(spark, path, n_total, columns=("tweet_id", "label_id")):
         return None
     try:
         stored = spark.read.parquet(path)
-    except AnalysisException:
+    except (PySparkException, Py4JJavaError):  # unreadable files
         return None
     if not {*columns, "n_total"} <= set(stored.columns):
         return None
