@@ -162,6 +162,7 @@ def auc_ovr(df, true="true_class_id", probs=PROB_COLUMNS, classes=CLASS_IDS):
         F.count_if(F.col("_true") == F.col("class_id")).alias("pos"),
         F.count_if(F.col("_true") != F.col("class_id")).alias("neg"),
     )
+    per_score.persist()  # put in order in several passes
     ordered = running_totals(per_score, "score", {"neg_below": F.col("neg")}, group=["class_id"])
     wins = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2.0)
     return ordered.groupBy("class_id").agg(

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from tagloom.functions.votes import name_of
 from tagloom.operators.ranking import with_batches
+from tagloom.operators.sizing import small_side
 from tagloom.schemas import DISPLAY_NAMES, LABEL_RESPONSE
 
 GROUP_SIZE = 10
@@ -26,11 +28,13 @@ def build_requests(numbered, text="text"):
 
 
 def few_shot_examples(labelled, text="text", key="tweet_id"):
-    """One worked example per class: the class's first row."""
-    first = F.min_by(F.col(text), F.col(key))
-    names = F.create_map(*(F.lit(x) for pair in DISPLAY_NAMES.items() for x in pair))
-    return labelled.groupBy("class_id").agg(first.alias("text")).withColumn(
-        "label_name", names[F.col("class_id")]
+    """One worked example per class: the class's first row.
+
+    Only keys are aggregated (a text in the aggregate would force a sort of all texts).
+    """
+    first = small_side(labelled.groupBy("class_id").agg(F.min(key).alias(key)).select(key))
+    return labelled.join(first, key, "left_semi").select(
+        "class_id", F.col(text).alias("text"), name_of("class_id", DISPLAY_NAMES).alias("label_name")
     )
 
 

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tagloom.functions.votes import majority_class
-from tagloom.schemas import CLASS_NAMES, VOTE_COLUMNS
+from tagloom.schemas import CLASS_NAMES, SPLITS, VOTE_COLUMNS
 
 
 def duplicate_keys(df, keys):
@@ -53,11 +53,21 @@ def duplicate_texts(df, text="text", key="tweet_id"):
 
 
 def split_overlap(df, key="tweet_id"):
-    """Keys found in more than one split."""
+    """Keys found in more than one split, with the first and last split by name.
+
+    Positions are aggregated instead of names: numbers keep it a hash aggregation.
+    """
+    names = F.array(*(F.lit(s) for s in sorted(SPLITS)))
+    position = F.array_position(names, F.col("split"))
     return (
         df.groupBy(key)
-        .agg(F.min("split").alias("first_split"), F.max("split").alias("last_split"))
-        .where("first_split <> last_split")
+        .agg(F.min(position).alias("first"), F.max(position).alias("last"))
+        .where("first <> last")
+        .select(
+            key,
+            F.element_at(names, F.col("first").cast("int")).alias("first_split"),
+            F.element_at(names, F.col("last").cast("int")).alias("last_split"),
+        )
     )
 
 

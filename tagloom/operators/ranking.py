@@ -8,12 +8,20 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tagloom.operators.sizing import small_side
+
 _BEFORE = (Window.unboundedPreceding, -1)
+MAX_RANGES = 20_000
+MAX_OFFSET_ROWS = 100_000
 
 
 def range_splits(df, key, ranges=None):
     """Strictly increasing cut points giving key ranges of about equal row counts."""
-    ranges = ranges or max(2, df.sparkSession.sparkContext.defaultParallelism)
+    if ranges is None:
+        # Several ranges per shuffle task even out how they fall on the tasks.
+        spark = df.sparkSession
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        ranges = min(4 * tasks, MAX_RANGES)
     keyed = df.select(F.col(key).cast("double").alias(key))
     points = keyed.approxQuantile(key, [i / ranges for i in range(1, ranges)], 0.25 / ranges)
     inner = sorted(set(points)) or [0.0]
@@ -48,6 +56,7 @@ def running_totals(df, key, totals, group=(), tie=(), ranges=None):
             for name in totals
         ),
     )
+    offsets = small_side(offsets, MAX_OFFSET_ROWS)
     within = Window.partitionBy(*group, "_range").orderBy(key, *tie).rowsBetween(*_BEFORE)
     inside = ranged.join(offsets, [*group, "_range"]).withColumns(
         {

@@ -36,7 +36,11 @@ def _value_rows(df, value, group=()):
 
 
 def describe(df, value):
-    """count, mean, sample deviation, min, quartiles and max of a numeric column."""
+    """count, mean, sample deviation, min, quartiles and max of a numeric column.
+
+    The exact quartiles hold one entry per distinct value, so the column should be a count
+    or a length (bounded by the longest text), not a continuous measure.
+    """
     counts = _value_rows(df, value)
     v = F.col("value").cast("double")
     n, total = F.sum("rows"), F.sum(v * F.col("rows"))

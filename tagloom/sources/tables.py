@@ -6,7 +6,9 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tagloom.schemas import CLASS_IDS, PREDICTIONS
+from tagloom.schemas import ANNOTATIONS, CLASS_IDS, CLASSES, PREDICTIONS, TWEETS
+
+DECLARED = {"classes": CLASSES, "tweets": TWEETS, "annotations": ANNOTATIONS}
 
 
 def path_exists(spark, path):
@@ -22,9 +24,11 @@ def save_stage(df, path):
 
 
 def save_tables(tables, root):
-    """Drop-and-recreate the relational tables as Parquet below ``root``."""
+    """Drop-and-recreate the relational tables, with their declared types, below ``root``."""
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        fields = DECLARED[name].fields if name in DECLARED else df.schema.fields
+        typed = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))
+        typed.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
 def load_tables(spark, root, names=("classes", "tweets", "annotations")):

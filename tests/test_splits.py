@@ -125,3 +125,8 @@ def test_large_side_is_not_broadcast(spark):
     df = spark.range(50)
     assert small_side(df, max_rows=10) is df
     assert small_side(df, max_rows=100).count() == 50
+
+
+def test_overlap_is_found(spark):
+    df = spark.createDataFrame([(1, "train"), (1, "test"), (2, "test"), (2, "test")], "tweet_id long, split string")
+    assert [tuple(r) for r in quality.split_overlap(df).collect()] == [(1, "test", "train")]
