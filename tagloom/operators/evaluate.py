@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tagloom.functions.arrays import argmax_columns
 from tagloom.operators.ranking import running_totals
 from tagloom.schemas import CLASS_IDS, PROB_COLUMNS, SHORT_NAMES
+from tagloom.session import scratch_table_path
+from tagloom.sources.tables import save_stage
 
 METRICS = (
     "accuracy",
@@ -162,7 +164,8 @@ def auc_ovr(df, true="true_class_id", probs=PROB_COLUMNS, classes=CLASS_IDS):
         F.count_if(F.col("_true") == F.col("class_id")).alias("pos"),
         F.count_if(F.col("_true") != F.col("class_id")).alias("neg"),
     )
-    per_score.persist()  # put in order in several passes
+    # Put in order in several passes, so it is written once.
+    per_score = save_stage(per_score, scratch_table_path(df.sparkSession, "scores"))
     ordered = running_totals(per_score, "score", {"neg_below": F.col("neg")}, group=["class_id"])
     wins = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2.0)
     return ordered.groupBy("class_id").agg(

@@ -6,7 +6,7 @@ the data first, and everything after it is proportional to the number of distinc
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import functions as F
 
 from tagloom.functions.votes import agreement, name_of
@@ -143,11 +143,11 @@ def correlation(df, columns, absolute=False):
     rows = VectorAssembler(inputCols=columns, outputCol="_row").transform(numbers).select("_row")
     rows.persist()  # read for the means and again for the products
     matrix = Correlation.corr(rows, "_row").first()[0].toArray()
-    rows.unpersist()
     constant = set()
     if np.isnan(matrix).any():
-        ends = numbers.agg(*(F.min(c) == F.max(c) for c in columns)).first()
-        constant = {i for i, same in enumerate(ends) if same}
+        ends = rows.select(Summarizer.metrics("min", "max").summary(F.col("_row"))).first()[0]
+        constant = {i for i, (low, high) in enumerate(zip(ends["min"], ends["max"])) if low == high}
+    rows.unpersist()
     cells = []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns):

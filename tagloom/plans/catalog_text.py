@@ -21,8 +21,10 @@ from tagloom.plans.oracle_parts import (
     structural_cte,
     structural_sql,
 )
+from tagloom.session import scratch_table_path
 from tagloom.sources import driver_tables as src
 from tagloom.sources.raw import loaded_view
+from tagloom.sources.tables import save_stage
 
 
 def clean_items(spark, root):
@@ -34,8 +36,11 @@ def split_items(spark, root):
 
 
 def staged_items(spark, root):
-    """Split texts for plans that read them several times: each text is cleaned once."""
-    return stratified_split(clean_items(spark, root).persist())
+    """Split texts for plans that read them several times.
+
+    The cleaned texts are written once; what follows reads just the columns it needs.
+    """
+    return stratified_split(save_stage(clean_items(spark, root), scratch_table_path(spark, "clean")))
 
 
 @query(
@@ -183,5 +188,5 @@ def scale_structural(spark, root):
     features = with_structural_features(split_items(spark, root)).select(
         "tweet_id", "split", *STRUCTURAL
     )
-    features.persist()
+    features = save_stage(features, scratch_table_path(spark, "structural"))
     return Scaler.fit(features.where("split = 'train'"), STRUCTURAL).transform(features)
