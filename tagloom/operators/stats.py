@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.votes import agreement, name_of
 from tagloom.schemas import SHORT_NAMES
+from tagloom.session import scratch_table_path
+from tagloom.sources.tables import save_stage
 
 
 def value_counts(df, column, digits=None):
@@ -72,11 +74,9 @@ def histogram(df, value, bins, group=None):
     With ``group`` the bins are shared and counted per group; empty bins are listed.
     """
     group = [group] if group else []
-    counts = _value_rows(df, value, group)
-    # Reading "rows" here too keeps both branches on one and the same shuffle.
-    bounds = counts.agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("rows").alias("_rows")
-    )
+    # Written once: bounds, grid and bins would each count the source again otherwise.
+    counts = save_stage(_value_rows(df, value, group), scratch_table_path(df.sparkSession, "counts"))
+    bounds = counts.agg(F.min("value").alias("low"), F.max("value").alias("high"))
     placed = counts.crossJoin(F.broadcast(bounds))  # one-row side
     width = (F.col("high") - F.col("low")).cast("double")
     raw = F.try_divide((F.col("value") - F.col("low")).cast("double") * bins, width)

@@ -457,4 +457,5 @@ def corr_eda(spark, root):
     [CLEAN],
 )
 def stats_table(spark, root):
-    return reports.exploratory_stats(reports.exploratory_report(src.tables(spark, root)))
+    report = reports.exploratory_report(src.tables(spark, root), only=reports.PRINTED)
+    return reports.exploratory_stats(report)

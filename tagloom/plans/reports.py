@@ -13,7 +13,7 @@ from tagloom.sources.raw import loaded_view
 def class_distribution(tables):
     """Rows per class name and their share of all texts, most frequent first."""
     counts = tables["tweets"].groupBy("class_id").agg(F.count(F.lit(1)).alias("n"))
-    total = tables["tweets"].agg(F.count(F.lit(1)).alias("total"))
+    total = counts.agg(F.sum("n").alias("total"))  # reuses the shuffle of the counts
     share = F.round(100.0 * F.col("n") / F.col("total"), 2)
     # Counting before the join leaves three rows for it; the total is one row.
     return (
@@ -106,21 +106,25 @@ def exploratory_frame(tables):
     )
 
 
-def exploratory_report(tables):
-    """Every table behind the exploratory figures, by name."""
+def exploratory_report(tables, only=None):
+    """The tables behind the exploratory figures by name (all, or just the ``only`` ones)."""
     frame = exploratory_frame(tables)
-    return {
-        "class_share": stats.value_counts(frame, "label", digits=2),
-        "word_count_mean": stats.mean_by_class(frame, "word_count", "mean_word_count", "label"),
-        "word_count_box": stats.box_stats(frame, "word_count", "label"),
-        "char_count": stats.describe(frame, "char_count"),
-        "char_count_bins": stats.histogram(frame, "char_count", 40),
-        "agreement_bins": stats.histogram(frame, "agreement", 20, "label"),
-        "agreement_mean": stats.agreement_by_class(frame, "label"),
-        "unanimous": stats.unanimous_share(frame),
-        "top_words": top_tokens(frame),
-        "correlation": stats.correlation(frame, EXPLORATORY),
+    builders = {
+        "class_share": lambda: stats.value_counts(frame, "label", digits=2),
+        "word_count_mean": lambda: stats.mean_by_class(frame, "word_count", "mean_word_count", "label"),
+        "word_count_box": lambda: stats.box_stats(frame, "word_count", "label"),
+        "char_count": lambda: stats.describe(frame, "char_count"),
+        "char_count_bins": lambda: stats.histogram(frame, "char_count", 40),
+        "agreement_bins": lambda: stats.histogram(frame, "agreement", 20, "label"),
+        "agreement_mean": lambda: stats.agreement_by_class(frame, "label"),
+        "unanimous": lambda: stats.unanimous_share(frame),
+        "top_words": lambda: top_tokens(frame),
+        "correlation": lambda: stats.correlation(frame, EXPLORATORY),
     }
+    return {name: builders[name]() for name in (only or builders)}
+
+
+PRINTED = ("class_share", "word_count_mean", "agreement_mean", "char_count", "unanimous")
 
 
 def exploratory_stats(report):

@@ -160,3 +160,12 @@ def test_integrity_checks(spark):
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert os.path.dirname(scratch_table_path(spark, "x")) == shared_dir(spark)
+
+
+def test_exploratory_report(spark, root):
+    from tagloom.plans.reports import exploratory_report
+
+    report = exploratory_report(src.tables(spark, root))
+    assert len(report) == 10
+    assert report["char_count_bins"].count() == 40
+    assert report["correlation"].count() == 49
