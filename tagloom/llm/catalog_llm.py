@@ -1,7 +1,14 @@
 """Queries of the training-data operators and the SQL they are checked against."""
 
+import public_tokenizers
+
 from tagloom.llm.common import read_table
+from tagloom.llm.packing import pack
 from tagloom.llm.url_filter import BLOCKED_SITES, judge
+from tagloom.llm.wavelet import shard_and_read
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES = {}
 SQL = {}
@@ -17,6 +24,16 @@ def query(sql=None):
     return register
 
 
+@query()
+def op3_packing(spark, sf_dir):
+    return pack(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
+
+
+@query()
+def op7_token_shards(spark, sf_dir):
+    return shard_and_read(read_table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, levels=16)
+
+
 @query(
     sql=f"""
     WITH parts AS (
