@@ -3,7 +3,9 @@
 import public_tokenizers
 
 from tagloom.llm.common import read_table
+from tagloom.llm.exact_dedup import mark_duplicates
 from tagloom.llm.packing import pack
+from tagloom.llm.quality_rules import judge_quality
 from tagloom.llm.url_filter import BLOCKED_SITES, judge
 from tagloom.llm.wavelet import shard_and_read
 
@@ -29,6 +31,16 @@ def op3_packing(spark, sf_dir):
     return pack(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
 
 
+@query(
+    sql="""
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+)
+def op6_exact_dedup(spark, sf_dir):
+    return mark_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_token_shards(spark, sf_dir):
     return shard_and_read(read_table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, levels=16)
@@ -59,3 +71,55 @@ def op7_token_shards(spark, sf_dir):
 )
 def op8_url_filter(spark, sf_dir):
     return judge(read_table(spark, sf_dir, "pages"))
+
+
+@query(
+    sql=r"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS lang, coalesce('=' || source, '') AS source, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+        FROM documents),
+    windows AS (
+        SELECT rid, i, count(*) OVER (PARTITION BY rid, w[i], w[i + 1], w[i + 2]) AS n
+        FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM texts)),
+    repeated AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM windows WHERE n > 1) GROUP BY rid),
+    counted AS (
+        SELECT rid, doc_id, lang, source, len(w) AS n_words,
+               CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+               length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+               coalesce(r.n, 0) AS n_repeat_words, len(l) AS n_lines
+        FROM texts LEFT JOIN repeated r USING (rid)),
+    judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted),
+    cells AS (
+        SELECT rid, lang, source, base_failed, 'symbol_share' AS measure, CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END AS v FROM judged
+        UNION ALL SELECT rid, lang, source, base_failed, 'dup_line_share', CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END FROM judged
+        UNION ALL SELECT rid, lang, source, base_failed, 'repeat_share', CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END FROM judged
+        UNION ALL SELECT rid, lang, source, base_failed, 'mean_length', CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END FROM judged),
+    binned AS (SELECT lang, source, measure, CASE WHEN v <= 0 THEN -1 ELSE ceil(ln(v) / ln(1.02)) END AS bin FROM cells WHERE NOT base_failed),
+    sketches AS (
+        SELECT 1 AS level, lang, source, measure, bin, count(*) AS n FROM binned GROUP BY ALL
+        UNION ALL SELECT 2, lang, '', measure, bin, count(*) FROM binned GROUP BY ALL
+        UNION ALL SELECT 3, '', '', measure, bin, count(*) FROM binned GROUP BY ALL),
+    ranked AS (
+        SELECT *, CASE WHEN bin < 0 THEN 0 ELSE pow(1.02, bin) END AS value,
+               sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bin) AS up_to, sum(n) OVER (PARTITION BY level, lang, source, measure) AS total
+        FROM sketches),
+    quartiles AS (
+        SELECT level, lang, source, measure, max(total) AS total, min(value) FILTER (up_to >= total * 0.25) AS q25,
+               min(value) FILTER (up_to >= total * 0.5) AS q50, min(value) FILTER (up_to >= total * 0.75) AS q75,
+               CASE measure WHEN 'symbol_share' THEN 20 WHEN 'mean_length' THEN 100 ELSE 60 END AS least
+        FROM ranked GROUP BY level, lang, source, measure),
+    bounds AS (SELECT *, q75 + 6 * greatest(q75 - q50, least) AS upper, q25 - 6 * greatest(q50 - q25, least) AS lower FROM quartiles WHERE level = 3 OR total >= 50),
+    verdicts AS (
+        SELECT rid, bool_and(coalesce(v <= coalesce(a.upper, b.upper, c.upper) AND v >= coalesce(a.lower, b.lower, c.lower), TRUE)) AS within
+        FROM cells x
+        LEFT JOIN bounds a ON a.level = 1 AND a.lang = x.lang AND a.source = x.source AND a.measure = x.measure
+        LEFT JOIN bounds b ON b.level = 2 AND b.lang = x.lang AND b.measure = x.measure
+        LEFT JOIN bounds c ON c.level = 3 AND c.measure = x.measure
+        GROUP BY rid)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND within AS kept
+    FROM judged JOIN verdicts USING (rid)"""
+)
+def op9_quality_rules(spark, sf_dir):
+    return judge_quality(read_table(spark, sf_dir, "documents"))
