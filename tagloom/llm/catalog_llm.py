@@ -4,6 +4,7 @@ import public_tokenizers
 
 from tagloom.llm.common import read_table
 from tagloom.llm.exact_dedup import mark_duplicates
+from tagloom.llm.minhash import near_duplicates
 from tagloom.llm.packing import pack
 from tagloom.llm.quality_rules import judge_quality
 from tagloom.llm.url_filter import BLOCKED_SITES, judge
@@ -31,6 +32,11 @@ def op3_packing(spark, sf_dir):
     return pack(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
 
 
+@query()
+def op5_minhash(spark, sf_dir):
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @query(
     sql="""
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
