@@ -2,6 +2,7 @@
 
 import public_tokenizers
 
+from tagloom.llm.bpe import round_trip
 from tagloom.llm.common import read_table
 from tagloom.llm.exact_dedup import mark_duplicates
 from tagloom.llm.minhash import near_duplicates
@@ -27,6 +28,11 @@ def query(sql=None):
     return register
 
 
+@query()
+def op1_bpe(spark, sf_dir):
+    return round_trip(read_table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 @query()
 def op3_packing(spark, sf_dir):
     return pack(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)

@@ -9,16 +9,31 @@ import os
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+from array import array  # noqa: E402
+
 import numpy as np  # noqa: E402
 import pyarrow as pa  # noqa: E402
 import pyarrow.compute as pc  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
-#: Distinct words remembered by a task between batches.
-CACHED_WORDS = 400_000
+#: Distinct words remembered by a task between batches; those met again live on in the next generation.
+CACHED_WORDS = 350_000
 UNSAFE_SPACE = r" [\s\x0b\x{85}\p{Z}]"
 TRAILING = ".,"
 
+#: Letters below this are the same in every Unicode version.
+COMMON_LETTERS = "\u0250"
+
+
+def _byte_characters():
+    """The character that stands for each byte in byte-level vocabularies: itself if printable, else one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_CHARACTERS = _byte_characters()
+
 _OPEN = {}
 
 
@@ -48,7 +63,7 @@ class WordEncoder:
         normalizer = self.tokenizer.normalizer
         #: Whether a space belongs to the word behind it; else white space is dropped and case folded.
         self.spaced = normalizer is None
-        self.cache = {}
+        self.recent, self.older = {}, {}
 
     def split(self, texts):
         """Words of texts (no nulls): codes, end of each text's codes, and the distinct words.
@@ -84,17 +99,39 @@ class WordEncoder:
             stem = stem.lower()
         return stem, tail
 
+    def _plain(self, piece):
+        """A piece that is one word of common letters, as the model takes it; else None."""
+        letters = piece[1:] if self.spaced and piece[:1] == " " else piece
+        if not letters.isalpha():
+            return None
+        if letters.isascii():
+            return "\u0120" + letters if letters is not piece else letters
+        if self.spaced and max(letters) < COMMON_LETTERS:
+            return piece.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        return None
+
     def ids_of(self, words):
         """Ids of each distinct word: all ids in turn, and the offsets of the words."""
-        cache = self.cache
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
+        if len(self.recent) > CACHED_WORDS:
+            self.recent, self.older = {}, self.recent
+        cache, older = self.recent, self.older
         pieces = [self._pieces(w) for w in words]
-        missing = list({p: None for pair in pieces for p in pair if p not in cache})
-        for start in range(0, len(missing), 20_000):
-            part = missing[start : start + 20_000]
+        model, others = self.tokenizer.model, []
+        for piece in {p for pair in pieces for p in pair}:
+            if piece in cache:
+                continue
+            known = older.get(piece)
+            if known is None:
+                plain = self._plain(piece)
+                if plain is None:
+                    others.append(piece)
+                    continue
+                known = array("I", [t.id for t in model.tokenize(plain)]).tobytes()
+            cache[piece] = known
+        for start in range(0, len(others), 20_000):
+            part = others[start : start + 20_000]
             for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                cache[piece] = np.array(found.ids, dtype="<u4").tobytes()
+                cache[piece] = array("I", found.ids).tobytes()
         runs = [cache[stem] + cache[tail] if tail else cache[stem] for stem, tail in pieces]
         offsets = np.zeros(len(runs) + 1, dtype=np.int64)
         np.cumsum(np.fromiter(map(len, runs), dtype=np.int64, count=len(runs)) // 4, out=offsets[1:])
