@@ -7,6 +7,7 @@ from tagloom.llm.common import read_table
 from tagloom.llm.exact_dedup import mark_duplicates
 from tagloom.llm.minhash import near_duplicates
 from tagloom.llm.packing import pack
+from tagloom.llm.pii import personal_data
 from tagloom.llm.quality_rules import judge_quality
 from tagloom.llm.url_filter import BLOCKED_SITES, judge
 from tagloom.llm.wavelet import shard_and_read
@@ -38,6 +39,11 @@ def op3_packing(spark, sf_dir):
     return pack(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
 
 
+@query()
+def op4_pii(spark, sf_dir):
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_minhash(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"))

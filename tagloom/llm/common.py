@@ -82,3 +82,9 @@ def batch_of(schema, **columns):
         [pa.array(columns[f.name], type=f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name].cast(f.type) for f in schema],
         schema=schema,
     )
+
+
+def bounded_sample(rows, key, limit):
+    """At most ``limit`` rows, those with the smallest hashes of ``key``; the chosen keys are broadcast."""
+    chosen = rows.select(key).filter(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64(key), key).limit(limit)
+    return rows.join(F.broadcast(chosen), key, "left_semi")
