@@ -8,6 +8,7 @@ from tagloom.llm.exact_dedup import mark_duplicates
 from tagloom.llm.minhash import near_duplicates
 from tagloom.llm.packing import pack
 from tagloom.llm.pii import personal_data
+from tagloom.llm.quality_classifier import classify
 from tagloom.llm.quality_rules import judge_quality
 from tagloom.llm.url_filter import BLOCKED_SITES, judge
 from tagloom.llm.wavelet import shard_and_read
@@ -34,6 +35,11 @@ def op1_bpe(spark, sf_dir):
     return round_trip(read_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+@query()
+def op2_quality_classifier(spark, sf_dir):
+    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query()
 def op3_packing(spark, sf_dir):
     return pack(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
