@@ -10,6 +10,7 @@ from tagloom.llm.packing import pack
 from tagloom.llm.pii import personal_data
 from tagloom.llm.quality_classifier import classify
 from tagloom.llm.quality_rules import judge_quality
+from tagloom.llm.secret_scan import scan
 from tagloom.llm.url_filter import BLOCKED_SITES, judge
 from tagloom.llm.wavelet import shard_and_read
 
@@ -147,3 +148,8 @@ def op8_url_filter(spark, sf_dir):
 )
 def op9_quality_rules(spark, sf_dir):
     return judge_quality(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_secret_scan(spark, sf_dir):
+    return scan(read_table(spark, sf_dir, "documents"))
