@@ -2,6 +2,7 @@
 
 import public_tokenizers
 
+import corpus_pipeline
 from tagloom.llm.bpe import round_trip
 from tagloom.llm.common import read_table
 from tagloom.llm.exact_dedup import mark_duplicates
@@ -153,3 +154,8 @@ def op9_quality_rules(spark, sf_dir):
 @query()
 def op10_secret_scan(spark, sf_dir):
     return scan(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

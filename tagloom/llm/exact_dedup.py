@@ -22,6 +22,8 @@ BUCKET_TEXTS = 1024
 BUCKET_BYTES = 4 << 20
 HASH_BITS = 63
 NO_ID = -(1 << 63)
+#: Groups of equal texts sent to every task at most, about 10 MB; more are joined by a shuffle.
+SENT_GROUPS = 100_000
 
 CANDIDATES = "owner long, key long, text string, best long, copies long"
 ARROW_CANDIDATES = pa.schema([("owner", pa.int64()), ("key", pa.int64()), ("text", pa.string()), ("best", pa.int64()), ("copies", pa.int64())])
@@ -220,18 +222,20 @@ def look_up(directory, texts, hash_bits=HASH_BITS):
     return pairs.select("text", "key", "path").mapInArrow(search, "text string, keep_id long, group_size long")
 
 
-def mark_duplicates(docs, hash_bits=HASH_BITS, capacity=BUCKET_TEXTS):
-    """doc_id, keep_id, group_size, kept, text_sha256 for each row of ``docs``.
+def mark_duplicates(docs, *more, hash_bits=HASH_BITS, capacity=BUCKET_TEXTS):
+    """doc_id, keep_id, group_size, kept, text_sha256 and the columns ``more`` of each row of ``docs``.
 
     A null text equals the empty text. Of equal texts the row with the largest doc_id stays.
     Rows that share doc_id and text share their fate. A null doc_id ranks below all others; a
     group with null ids only keeps all its rows. No rows give no rows.
     """
     index = build_index(docs, fresh_dir(docs.sparkSession, "hash-index"), hash_bits, capacity)
-    groups = index.select(F.explode("groups").alias("g")).select("g.*")
-    rows = id_and_text(docs).select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
-    joined = rows.join(groups.withColumn("grouped", F.lit(True)), "text_sha256", "left")
+    groups = index.select(F.explode("groups").alias("g")).select("g.*", F.lit(True).alias("grouped"))
+    if groups.count() <= SENT_GROUPS:  # else rows and groups are dealt out by digest
+        groups = F.broadcast(groups)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"), *more)
+    joined = rows.join(groups, "text_sha256", "left")
     keep = F.when(F.col("grouped"), F.col("keep_id")).otherwise(F.col("doc_id"))
     return joined.select(
-        "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256"
+        "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", *more
     )

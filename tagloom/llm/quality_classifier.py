@@ -163,11 +163,11 @@ def fit(docs, labels, sample=SAMPLE_ROWS):
 def score(docs, model, *more):
     """doc_id, score (probability of quality 1) and the columns ``more`` of each row of ``docs``.
 
-    Whole texts are read; a null or empty text gets the score of the bias alone. Without a
-    model every score is 0.5.
+    Whole texts are read; a null text counts as empty and gets the score of the bias alone.
+    Without a model every score is 0.5.
     """
-    rows = id_and_text(docs, *more)
-    extra = [f for f in rows.schema.fields if f.name in more]
+    rows = id_and_text(docs, *(c for c in more if c != "text"))
+    extra = [rows.schema[c] for c in more]
 
     def run(batches):
         table, bias = model if model is not None else (np.zeros(BUCKETS + 1), 0.0)
