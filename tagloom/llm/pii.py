@@ -25,7 +25,7 @@ SAMPLE_DOCUMENTS = 4000
 SAMPLE_STRETCHES = 400
 EPOCHS = 8
 #: Least score over "no personal data" of a span that is added.
-MARGIN = 2.0
+MARGIN = 1.0
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
