@@ -149,7 +149,7 @@ def auc_ovr(df, true="true_class_id", probs=PROB_COLUMNS, classes=CLASS_IDS):
     """One-vs-rest area under the ROC curve per class, tied scores counting half.
 
     Rows are first merged per distinct score, so a score shared by a third of the table is
-    one row by the time scores are put in order.
+    one row by the time scores are put in order. A class with a NULL score has no AUC (NULL).
     """
     long_form = df.select(
         F.col(true).alias("_true"),
@@ -168,9 +168,8 @@ def auc_ovr(df, true="true_class_id", probs=PROB_COLUMNS, classes=CLASS_IDS):
     per_score = save_stage(per_score, scratch_table_path(df.sparkSession, "scores"))
     ordered = running_totals(per_score, "score", {"neg_below": F.col("neg")}, group=["class_id"])
     wins = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2.0)
-    return ordered.groupBy("class_id").agg(
-        F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg")).alias("auc")
-    )
+    area = F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg"))
+    return ordered.groupBy("class_id").agg(F.when(~F.bool_or(F.col("score").isNull()), area).alias("auc"))
 
 
 def macro_auc(df, **kwargs):

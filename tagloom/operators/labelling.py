@@ -68,17 +68,22 @@ def budget(texts, size=GROUP_SIZE, daily_limit=DAILY_LIMIT):
 
 
 def parse_responses(df, payload="payload"):
-    """JSON answers to rows (group_id, index, label_id)."""
+    """JSON answers to rows (group_id, position, index, label_id); ``position`` is the place in the answer."""
     parsed = df.withColumn("_r", F.from_json(payload, LABEL_RESPONSE))
-    return parsed.select("group_id", F.inline("_r")).select("group_id", "index", "label_id")
+    return parsed.select("group_id", F.posexplode("_r").alias("position", "_a")).select("group_id", "position", "_a.index", "_a.label_id")
+
+
+def _last_answers(responses):
+    """One label per group and index: the last that holds a label. An answer without label is none."""
+    given = responses.where(F.col("label_id").isNotNull() & F.col("index").isNotNull())
+    return given.groupBy("group_id", "index").agg(F.max_by("label_id", "position").alias("label_id"))
 
 
 def validate_groups(numbered, responses):
     """Whether each group was answered for exactly its indices 0..n-1."""
     asked = numbered.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_texts"))
     # First per index, then per group: repeated answers cannot pile up in one place.
-    per_index = responses.groupBy("group_id", "index").agg(F.count(F.lit(1)).alias("n"))
-    answered = per_index.groupBy("group_id").agg(
+    answered = _last_answers(responses).groupBy("group_id").agg(
         F.count(F.lit(1)).alias("n_indices"),
         F.min("index").alias("lowest"),
         F.max("index").alias("highest"),
@@ -97,8 +102,8 @@ def validate_groups(numbered, responses):
 
 
 def accepted_labels(numbered, responses, checked):
-    """Labels of the rows of complete groups."""
-    per_index = responses.groupBy("group_id", "index").agg(F.max("label_id").alias("label_id"))
+    """Labels of the rows of complete groups; of repeated answers the last counts."""
+    per_index = _last_answers(responses)
     good = checked.where("complete").select("group_id")
     return (
         numbered.join(good, "group_id", "left_semi")
@@ -112,6 +117,17 @@ def single_requests(numbered, checked):
     return numbered.join(checked.where(~F.col("complete")).select("group_id"), "group_id", "left_semi")
 
 
+def merged_labels(numbered, responses, checked, single_answers, key="tweet_id"):
+    """Labels of complete groups, and of the other rows the answers asked one by one.
+
+    ``single_answers`` holds (key, label_id); rows without label and rows of complete groups
+    are not taken, and of several answers for a row the largest label counts.
+    """
+    single = single_answers.where(F.col("label_id").isNotNull()).groupBy(key).agg(F.max("label_id").cast("int").alias("label_id"))
+    asked = single_requests(numbered, checked).select(key).join(single, key)
+    return accepted_labels(numbered, responses, checked).withColumn("label_id", F.col("label_id").cast("int")).unionByName(asked)
+
+
 def with_fallback(texts, labels, fallback=FALLBACK_LABEL, key="tweet_id"):
     """Final label per row; rows never labelled get the fallback and a review flag."""
     joined = texts.join(labels.select(key, "label_id"), key, "left")

@@ -8,15 +8,18 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tagloom.operators.sizing import small_side
-
 _BEFORE = (Window.unboundedPreceding, -1)
+#: Range of rows without a key; it comes before all others.
+NO_KEY = -1
 MAX_RANGES = 20_000
-MAX_OFFSET_ROWS = 100_000
 
 
 def range_splits(df, key, ranges=None):
-    """Strictly increasing cut points giving key ranges of about equal row counts."""
+    """Strictly increasing cut points giving key ranges of about equal row counts.
+
+    Keys are numeric. ``ranges`` is the number of ranges; by default four for each shuffle task,
+    at most MAX_RANGES, beyond which a range grows with the table, so larger clusters pass it.
+    """
     if ranges is None:
         # Several ranges per shuffle task even out how they fall on the tasks.
         spark = df.sparkSession
@@ -29,16 +32,18 @@ def range_splits(df, key, ranges=None):
 
 
 def with_key_range(df, key, splits, out="_range"):
-    """Number of the range a key falls into (monotone in the key)."""
+    """Number of the range a key falls into (monotone in the key); NULL keys get NO_KEY, NaN the last."""
     ranged = df.withColumn("_range_key", F.col(key).cast("double"))
-    ranged = Bucketizer(splits=splits, inputCol="_range_key", outputCol=out).transform(ranged)
-    return ranged.withColumn(out, F.col(out).cast("int")).drop("_range_key")
+    cut = Bucketizer(splits=splits, inputCol="_range_key", outputCol=out, handleInvalid="keep")
+    numbered = F.when(F.col("_range_key").isNull(), NO_KEY).otherwise(F.col(out).cast("int"))
+    return cut.transform(ranged).withColumn(out, numbered).drop("_range_key")
 
 
 def running_totals(df, key, totals, group=(), tie=(), ranges=None):
     """Add exclusive running sums of ``totals`` (name -> expression) in key order.
 
-    ``group`` restarts the sums per group, ``tie`` orders rows of equal key.
+    ``group`` restarts the sums per group, ``tie`` orders rows of equal key. Rows with a NULL
+    key come first, and a NULL in a group column is a group of its own.
     """
     group, tie = list(group), list(tie)
     terms = {f"_term_{name}": expr for name, expr in totals.items()}
@@ -49,16 +54,18 @@ def running_totals(df, key, totals, group=(), tie=(), ranges=None):
     # One row per group and range: the only place where all ranges meet.
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(*_BEFORE)
     offsets = per_range.select(
-        *group,
-        "_range",
+        *(F.col(g).alias(f"_group_{g}") for g in group),
+        F.col("_range").alias("_at"),
         *(
             F.coalesce(F.sum(f"_sum_{name}").over(earlier), F.lit(0)).alias(f"_offset_{name}")
             for name in totals
         ),
     )
-    offsets = small_side(offsets, MAX_OFFSET_ROWS)
+    same = F.col("_range") == F.col("_at")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_group_{g}"))
     within = Window.partitionBy(*group, "_range").orderBy(key, *tie).rowsBetween(*_BEFORE)
-    inside = ranged.join(offsets, [*group, "_range"]).withColumns(
+    inside = ranged.join(offsets, same).withColumns(
         {
             name: F.col(f"_offset_{name}")
             + F.coalesce(F.sum(f"_term_{name}").over(within), F.lit(0))

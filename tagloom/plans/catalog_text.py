@@ -71,8 +71,8 @@ def clean_pages(spark, root):
 
 @query(
     "clean_conversations",
-    "tweet_id b, clean_text s",
-    f"""SELECT conv_id * 1000 + turn AS tweet_id, {clean_sql('text')} AS clean_text
+    "tweet_id s, clean_text s",
+    f"""SELECT concat(conv_id, '/', turn) AS tweet_id, {clean_sql('text')} AS clean_text
         FROM conversations WHERE {clean_sql('text')} <> ''""",
 )
 def clean_conversations(spark, root):

@@ -1,6 +1,5 @@
 """Session defaults and the shared folder used for written intermediate tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,18 +25,13 @@ def get_session(app="tagloom", master=None, **conf):
 
 
 def shared_dir(spark):
-    """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a folder of this machine.
-    """
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or else one below the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="tagloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    below = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    spark.conf.set("spark.checkpoint.dir", below)
+    return below
 
 
 def scratch_table_path(spark, name):

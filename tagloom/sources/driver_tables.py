@@ -9,23 +9,15 @@ def table(spark, root, name):
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def text_table(spark, root, name, key):
-    """A table about to be processed text by text.
-
-    Stored as fewer files than there are cores it would be read by a handful of tasks, so
-    it is spread first. Tables of many files, as on a cluster, are left as they are.
-    """
-    df = table(spark, root, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
-
-
-def documents(spark, root):
-    return text_table(spark, root, "documents", "doc_id").select("doc_id", "text")
+def documents(spark, root, spread=None):
+    """Ids and texts; ``spread`` deals rows of few large files out to so many tasks."""
+    df = table(spark, root, "documents").select("doc_id", "text")
+    return df.repartition(spread, "doc_id") if spread else df
 
 
-def pages(spark, root):
-    return text_table(spark, root, "pages", "page_id").select("page_id", "url", "html")
+def pages(spark, root, spread=None):
+    df = table(spark, root, "pages").select("page_id", "url", "html")
+    return df.repartition(spread, "page_id") if spread else df
 
 
 def raw_items(spark, root):
@@ -91,7 +83,7 @@ def scored_items(spark, root):
 
 
 def conversation_turns(spark, root):
-    """Chat turns as a second text source; the key numbers turns within conversations."""
+    """Chat turns as a second text source; the key is the pair of conversation and turn, as text."""
     return table(spark, root, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("tweet_id"), "conv_id", "turn", "role", "text"
+        F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("tweet_id"), "conv_id", "turn", "role", "text"
     )

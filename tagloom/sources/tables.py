@@ -124,23 +124,34 @@ def pending(todo, done, key="tweet_id"):
 
 
 def append_results(results, path, n_total):
-    """Add finished rows; ``n_total`` marks which input they belong to."""
-    results.withColumn("n_total", F.lit(n_total).cast("long")).write.mode("append").parquet(path)
+    """Add finished rows to the part of the run that ``n_total`` names; other runs' parts stay apart."""
+    marked = results.withColumns({"n_total": F.lit(n_total).cast("long"), "stored_at": F.current_timestamp()})
+    marked.write.mode("append").partitionBy("n_total").parquet(path)
+
+
+def replace_results(results, path, n_total):
+    """Start the part of a run anew, dropping what it held, also if that was unreadable."""
+    marked = results.withColumn("stored_at", F.current_timestamp())
+    marked.write.mode("overwrite").parquet(f"{path}/n_total={int(n_total)}")
 
 
 def load_results(spark, path, n_total, columns=("tweet_id", "label_id")):
-    """Finished rows of a matching run; a missing, foreign or malformed store gives None."""
-    if not path_exists(spark, path):
+    """Newest finished row per id of a run; a missing or malformed part gives None.
+
+    Only the run's own part is read, so a run of another input neither blocks nor mixes in.
+    """
+    own = f"{path}/n_total={int(n_total)}"
+    if not path_exists(spark, own):
         return None
     try:
-        stored = spark.read.parquet(path)
+        stored = spark.read.parquet(own)
     except (PySparkException, Py4JJavaError):  # unreadable files
         return None
-    if not {*columns, "n_total"} <= set(stored.columns):
-        return None
-    if stored.where(F.col("n_total") != n_total).limit(1).count():
+    if not {*columns, "stored_at"} <= set(stored.columns):
         return None
-    return stored.select(*columns).dropDuplicates([columns[0]])
+    key, rest = columns[0], columns[1:]
+    newest = stored.groupBy(key).agg(F.max_by(F.struct(*rest), "stored_at").alias("_newest"))
+    return newest.select(key, *(F.col(f"_newest.{c}").alias(c) for c in rest))
 
 
 # --- small documents ----------------------------------------------------------------------

@@ -88,6 +88,20 @@ def test_incomplete_groups(spark, numbered, train):
     assert {r[0] for r in open_groups} == {2, 3, 4, 5, 6}
 
 
+def test_answers_without_label_and_repeated_answers(spark):
+    numbered = spark.createDataFrame([(i, i // 2, i % 2) for i in range(6)], "tweet_id long, group_id long, index int")
+    rows = [[(0, 1), (1, None)], [(0, 2), (1, 1), (0, 0)], [(0, 1), (None, 1), (1, 2), (1, None)]]
+    payloads = [(g, json.dumps([{"index": i, "label_id": v, "label_name": ""} for i, v in own])) for g, own in enumerate(rows)]
+    responses = labelling.parse_responses(spark.createDataFrame(payloads, "group_id long, payload string"))
+    checked = labelling.validate_groups(numbered, responses)
+    assert {r["group_id"]: r["complete"] for r in checked.collect()} == {0: False, 1: True, 2: True}
+    labels = {r["tweet_id"]: r["label_id"] for r in labelling.accepted_labels(numbered, responses, checked).collect()}
+    assert labels == {2: 0, 3: 1, 4: 1, 5: 2}
+    singles = spark.createDataFrame([(0, 2), (1, None), (2, 2)], "tweet_id long, label_id int")
+    merged = labelling.merged_labels(numbered, responses, checked, singles)
+    assert {r["tweet_id"]: r["label_id"] for r in merged.collect()} == labels | {0: 2}
+
+
 @pytest.mark.parametrize("n, calls, margin, warning", [
     (3718, 372, 128, "ok"), (4500, 450, 50, "thin margin"), (5001, 501, -1, "over limit")])
 def test_budget(spark, n, calls, margin, warning):

@@ -149,3 +149,10 @@ def test_review_queue(scored):
     rows, df = scored
     got = [r["tweet_id"] for r in evaluate.review_queue(df, 20).collect()]
     assert got == [r[0] for r in sorted(rows, key=lambda r: (-r[2], r[0]))[:20]]
+
+
+def test_auc_of_missing_scores_is_null(spark):
+    rows = [(0, 0.9, 0.1), (0, None, 0.2), (1, 0.1, 0.8), (1, 0.4, 0.9)]
+    df = spark.createDataFrame(rows, "true_class_id int, a double, b double")
+    got = {r["class_id"]: r["auc"] for r in evaluate.auc_ovr(df, probs=["a", "b"], classes=[0, 1]).collect()}
+    assert got == {0: None, 1: 1.0}

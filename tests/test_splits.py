@@ -130,3 +130,12 @@ def test_large_side_is_not_broadcast(spark):
 def test_overlap_is_found(spark):
     df = spark.createDataFrame([(1, "train"), (1, "test"), (2, "test"), (2, "test")], "tweet_id long, split string")
     assert [tuple(r) for r in quality.split_overlap(df).collect()] == [(1, "test", "train")]
+
+
+def test_rows_without_key_come_first(spark):
+    df = spark.createDataFrame([(None, "a"), (3.0, "b"), (None, "c"), (1.0, "d"), (2.0, "e")], "k double, name string")
+    got = {r["name"]: r["rn"] for r in with_row_number(df, "k", tie=["name"]).collect()}
+    assert got == {"a": 1, "c": 2, "d": 3, "e": 4, "b": 5}
+    grouped = spark.createDataFrame([(None, 1.0), (None, 2.0), ("x", None), ("x", 5.0)], "g string, k double")
+    rows = running_totals(grouped, "k", {"before": F.lit(1)}, group=["g"]).collect()
+    assert sorted((r["g"] or "", r["k"] or 0.0, r["before"]) for r in rows) == [("", 1.0, 0), ("", 2.0, 1), ("x", 0.0, 0), ("x", 5.0, 1)]

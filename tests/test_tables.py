@@ -105,10 +105,18 @@ def test_results_resume(spark, tmp_path):
     left = store.pending(todo, store.load_results(spark, path, 10))
     assert sorted(r[0] for r in left.collect()) == [0, 4]
     assert store.pending(todo, None).count() == 5
-    bad = tmp_path / "bad"
-    bad.mkdir()
+    # An answer given again replaces the first; a run of another input is kept apart.
+    store.append_results(spark.createDataFrame([(1, 2)], "tweet_id long, label_id int"), path, 10)
+    assert {r[0]: r[1] for r in store.load_results(spark, path, 10).collect()} == {1: 2, 2: 1, 3: 2}
+    store.append_results(spark.createDataFrame([(7, 0)], "tweet_id long, label_id int"), path, 11)
+    assert [tuple(r) for r in store.load_results(spark, path, 11).collect()] == [(7, 0)]
+    assert store.load_results(spark, path, 10).count() == 3
+    bad = tmp_path / "bad" / "n_total=10"
+    bad.mkdir(parents=True)
     (bad / "part.parquet").write_text("not parquet")
-    assert store.load_results(spark, str(bad), 10) is None
+    assert store.load_results(spark, str(tmp_path / "bad"), 10) is None
+    store.replace_results(done, str(tmp_path / "bad"), 10)
+    assert store.load_results(spark, str(tmp_path / "bad"), 10).count() == 2
 
 
 def test_optional_source(spark, tmp_path):
