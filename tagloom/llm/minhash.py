@@ -7,8 +7,9 @@ windows of a text's shingles. Texts that agree in all rows of a band share a buc
 
 Texts with equal shingle sets are one class from the start. Each bucket links its members to
 its smallest one only; links are confirmed on the full sets. Buckets whose members are then
-not all connected are searched again: members of different components with alike signatures
-are confirmed too, so that a member unlike the smallest one keeps its links.
+not all connected are searched again in blocks: members of different components with alike
+signatures are compared on their full sets too, so that a member unlike the smallest one keeps
+its links.
 """
 
 import hashlib
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.common import id_and_text, stage, text_slices
 from tagloom.llm.components import components
+from tagloom.llm.encoding import take_runs
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100
@@ -31,8 +33,8 @@ SKETCH = 200
 #: Share of equal sketch bytes below which a pair is not confirmed. A pair at the threshold
 #: lies 5 standard deviations above it.
 SCREEN = 0.60
-#: Members compared at once when a bucket is searched again.
-BLOCK = 4096
+#: Members of a block when a bucket is searched again; two blocks meet in a task.
+BLOCK = 2048
 #: Document ids sent to every task at most, 8 MB; more are joined by a shuffle.
 SENT_IDS = 1_000_000
 
@@ -144,18 +146,16 @@ def _screen(pairs, reps):
     return pairs.filter(_near_sizes(F.col("n_a"), F.col("n_b"))).select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
 
 
-def _texts_of(pairs, docs):
-    """(rep, text) of the documents in pairs, staged."""
-    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "pair-ids")
+def _texts_of(ids, docs):
+    """(rep, text) of the documents with the given ids, staged."""
     if ids.count() <= SENT_IDS:  # else the texts are dealt out by id
         ids = F.broadcast(ids)
-    return stage(id_and_text(docs).join(ids, F.col("doc_id") == F.col("rep")).select("rep", "text"), "pair-texts").dropDuplicates(["rep"])
+    return stage(id_and_text(docs).join(ids, F.col("doc_id") == F.col("rep")).select("rep", "text"), "texts").dropDuplicates(["rep"])
 
 
 def _confirm(pairs, docs):
     """The pairs whose full shingle sets reach the similarity."""
-    pairs = stage(pairs, "alike-pairs")
-    texts = _texts_of(pairs, docs)
+    texts = _texts_of(stage(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "pair-ids"), docs)
     for side in ("a", "b"):
         pairs = pairs.join(texts.select(F.col("rep").alias(side), F.col("text").alias(f"text_{side}")), side)
 
@@ -174,23 +174,18 @@ def _confirm(pairs, docs):
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _open_pairs(buckets, labels, reps):
-    """Alike pairs of different components inside buckets that hold several components.
+def _cells(buckets, labels, reps):
+    """Members of the buckets that hold several components, dealt into cells (bucket, cell).
 
-    A bucket's main members, those connected with its smallest one, are not compared with each
-    other. They and the rest are cut into blocks; a block of either meets each block of the rest
-    in a task of its own, so any bucket is covered in bounded memory.
+    A bucket's main members, those connected with its smallest one, need no comparison with
+    each other. They and the rest are cut into blocks; a block of either meets each block of the
+    rest in a cell of its own, so any bucket is covered in bounded memory.
     """
     members = buckets.join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "hub", F.coalesce("component", "rep").alias("component"))
     hubs = labels.select(F.col("node").alias("hub"), F.col("component").alias("main"))
     members = members.join(hubs, "hub", "left").select("bucket", "rep", "component", (F.col("component") == F.coalesce("main", "hub")).alias("is_main"))
-    sizes = members.groupBy("bucket").agg(
-        F.count_if("is_main").alias("mains"), F.count_if(~F.col("is_main")).alias("rest"),
-        F.sum(F.pmod(F.xxhash64("rep"), F.lit(1 << 40))).alias("sum"), F.min("rep").alias("first"),
-    )
-    # Equal member lists of several bands need one search only.
-    once = sizes.filter("rest > 0").groupBy("mains", "rest", "sum", "first").agg(F.min("bucket").alias("bucket"))
-    rows = stage(members.join(once.select("bucket", "mains", "rest"), "bucket"), "open-buckets").join(reps.select("rep", "n_shingles", "sketch"), "rep")
+    sizes = members.groupBy("bucket").agg(F.count_if("is_main").alias("mains"), F.count_if(~F.col("is_main")).alias("rest")).filter("rest > 0")
+    rows = members.join(sizes, "bucket").join(reps.select("rep", "n_shingles", "sketch", "bands"), "rep")
     main_blocks, rest_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("mains", "rest"))
     number = F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), main_blocks).otherwise(rest_blocks)).cast("int")
     span = lambda n: F.sequence(F.lit(0), n - 1)
@@ -198,27 +193,84 @@ def _open_pairs(buckets, labels, reps):
     with_mains = F.transform(span(main_blocks), lambda i: cell("main", i, F.col("block")))
     with_rest = F.transform(span(rest_blocks), lambda o: cell("rest", F.least(o, F.col("block")), F.greatest(o, F.col("block"))))
     cells = F.when(F.col("is_main"), F.transform(span(rest_blocks), lambda j: cell("main", F.col("block"), j))).otherwise(F.concat(with_mains, with_rest))
-    dealt = rows.withColumn("block", number).select("bucket", "rep", "component", "n_shingles", "sketch", "is_main", "block", F.explode(cells).alias("cell"))
-
-    def run(key, table):
-        kind, i, j = key[1].as_py().values()
-        rep, part, size, block = (table[c].to_numpy() for c in ("rep", "component", "n_shingles", "block"))
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
-        if kind == "main":
-            first = table["is_main"].to_numpy()
-        else:
-            first = np.ones(len(rep), bool) if i == j else block == i
-        second = np.flatnonzero(~first) if kind == "main" or i != j else np.arange(len(rep))
-        left, right = [], []
-        for at in np.flatnonzero(first):
-            other = second[(part[second] != part[at]) & (np.minimum(size[second], size[at]) * DENOMINATOR >= np.maximum(size[second], size[at]) * NUMERATOR)]
+    return rows.withColumn("block", number).select("bucket", "rep", "component", "n_shingles", "sketch", "bands", "is_main", "block", F.explode(cells).alias("cell"))
+
+
+def _alike(key, table):
+    """(member, its partners) of a cell: other component, near size, alike sketch, and no earlier bucket in common."""
+    kind, i, j = key[1].as_py().values()
+    part, size, block = (table[c].to_numpy() for c in ("component", "n_shingles", "block"))
+    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
+    bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    if kind == "main":
+        first = ~table["is_main"].to_numpy()
+    else:
+        first = np.ones(len(part), bool) if i == j else block == i
+    second = np.arange(len(part)) if kind == "rest" and i == j else np.flatnonzero(~first)
+    for at in np.flatnonzero(first):
+        other = second[second > at] if kind == "rest" and i == j else second
+        other = other[(part[other] != part[at]) & (np.minimum(size[other], size[at]) * DENOMINATOR >= np.maximum(size[other], size[at]) * NUMERATOR)]
+        other = other[(sketch[other] == sketch[at]).mean(axis=1) >= SCREEN]
+        if len(other):
+            earliest = (bands[other] == bands[at]).argmax(axis=1)
+            other = other[bands[at][earliest] == key[0].as_py()]
             if len(other):
-                near = other[(sketch[other] == sketch[at]).mean(axis=1) >= SCREEN]
-                left += [rep[at]] * len(near)
-                right += rep[near].tolist()
-        return pa.table({"a": pa.array(np.minimum(left, right), pa.int64()), "b": pa.array(np.maximum(left, right), pa.int64())})
+                yield at, other
 
-    return dealt.groupBy("bucket", "cell").applyInArrow(run, "a long, b long").distinct()
+
+def _more_links(buckets, labels, reps, docs):
+    """Links between different components, confirmed inside the cells on the full sets.
+
+    A cell first names the members that have an alike partner; their texts join them, and the
+    cell confirms pairs until its components are connected as far as they can be. Only links
+    leave a cell, fewer than it has members, never the pairs tried.
+    """
+
+    def name(key, table):
+        table = table.sort_by("rep")
+        found = np.zeros(len(table), bool)
+        for at, other in _alike(key, table):
+            found[at] = found[other] = True
+        return table.filter(pa.array(found))
+
+    cells = _cells(buckets, labels, reps)
+    named = stage(cells.groupBy("bucket", "cell").applyInArrow(name, cells.schema), "open-members")
+    ids = stage(named.select("rep").distinct(), "open-ids")
+
+    def confirm(key, table):
+        table = table.sort_by("rep")
+        rep, part, shingler = table["rep"].to_pylist(), table["component"].to_pylist(), Shingler()
+        sets = [shingler.shingles(t) for t in table["text"].to_pylist()]
+        sizes = np.array([len(s) for s in sets])
+        numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        marked = np.zeros(len(numbers) + 1, dtype=np.int32)
+        root = {}
+
+        def top(x):
+            while x in root:
+                x = root[x]
+            return x
+
+        links = []
+        for at, other in _alike(key, table):
+            other = other[[top(part[o]) != top(part[at]) for o in other]]
+            if not len(other):
+                continue
+            own = numbers[offsets[at] : offsets[at + 1]]
+            marked[own] = 1
+            flat, ends = take_runs(numbers, offsets, other)
+            common = np.diff(np.concatenate([[0], np.cumsum(marked[flat])])[np.concatenate([[0], ends])])
+            marked[own] = 0
+            for o in other[DENOMINATOR * common >= NUMERATOR * (sizes[at] + sizes[other] - common)]:
+                x, y = top(part[at]), top(part[o])
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    links.append((min(rep[at], rep[o]), max(rep[at], rep[o])))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    with_text = named.join(_texts_of(ids, docs), "rep")
+    return stage(with_text.groupBy("bucket", "cell").applyInArrow(confirm, "a long, b long").distinct(), "more-links")
 
 
 def near_duplicates(docs):
@@ -239,10 +291,9 @@ def near_duplicates(docs):
     hubs = keyed.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     buckets = stage(keyed.join(hubs, "bucket").select("bucket", "rep", "hub"), "buckets")
     stars = buckets.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = stage(_confirm(_screen(stars, reps), docs), "links")
+    links = stage(_confirm(stage(_screen(stars, reps), "alike-pairs"), docs), "links")
     labels = components(links)
-
-    more = stage(_confirm(_open_pairs(buckets, labels, reps), docs), "more-links")
+    more = _more_links(buckets, labels, reps, docs)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
