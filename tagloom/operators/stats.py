@@ -4,9 +4,8 @@ Quantiles and bins work on (value, rows) counts: one map-side combined aggregati
 the data first, and everything after it is proportional to the number of distinct values.
 """
 
-import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation, Summarizer
+import math
+
 from pyspark.sql import functions as F
 
 from tagloom.functions.votes import agreement, name_of
@@ -135,24 +134,28 @@ def mean_by_class(df, value, out, group="class_name"):
 def correlation(df, columns, absolute=False):
     """Pearson matrix in long form: one row per ordered pair of columns.
 
-    The matrix is gathered in one distributed pass of rank-one updates and has
-    ``len(columns)`` squared cells. A constant column has no correlation (NULL).
+    One aggregate gives all pairs and the columns' ends; it has ``len(columns)`` squared cells.
+    A constant column has no correlation (NULL).
     """
     columns = list(columns)
-    numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    rows = VectorAssembler(inputCols=columns, outputCol="_row").transform(numbers).select("_row")
-    rows.persist()  # read for the means and again for the products
-    matrix = Correlation.corr(rows, "_row").first()[0].toArray()
-    constant = set()
-    if np.isnan(matrix).any():
-        ends = rows.select(Summarizer.metrics("min", "max").summary(F.col("_row"))).first()[0]
-        constant = {i for i, (low, high) in enumerate(zip(ends["min"], ends["max"])) if low == high}
-    rows.unpersist()
+    numbers = df.select(*(F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)))
+    spans = [F.max(f"c{i}") == F.min(f"c{i}") for i in range(len(columns))]
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
+    found = numbers.agg(
+        *(s.alias(f"constant{i}") for i, s in enumerate(spans)),
+        *(F.var_pop(f"c{i}").alias(f"v{i}") for i in range(len(columns))),
+        *(F.covar_pop(f"c{i}", f"c{j}").alias(f"r{i}_{j}") for i, j in pairs),
+    ).first()
     cells = []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns):
-            r = None if {i, j} & constant else float(abs(matrix[i, j]) if absolute else matrix[i, j])
-            cells.append((i, j, a, b, r))
+            if found[f"constant{i}"] is not False or found[f"constant{j}"] is not False:
+                r = None
+            elif i == j:
+                r = 1.0
+            else:
+                r = found[f"r{min(i, j)}_{max(i, j)}"] / math.sqrt(found[f"v{i}"] * found[f"v{j}"])
+            cells.append((i, j, a, b, abs(r) if r is not None and absolute else r))
     return df.sparkSession.createDataFrame(
         cells, "i int, j int, feature_a string, feature_b string, r double"
     )

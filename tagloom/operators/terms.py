@@ -7,7 +7,9 @@ shuffle text; the bounded vocabulary travels to the tasks instead.
 
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
@@ -58,27 +60,35 @@ def max_token_length(df, clean="clean_text"):
     return df.agg(F.max(F.size(clean_tokens(clean))).alias("max_len"))
 
 
-def encode(df, vocabulary, max_len, key="tweet_id", clean="clean_text"):
-    """Token ids in text order, unknown words as 1, cut or padded to ``max_len``.
+def encode(df, vocabulary, max_len=None, key="tweet_id", clean="clean_text"):
+    """Token ids in text order, unknown words as 1; cut or padded if a ``max_len`` is given.
 
-    The vocabulary is bounded by its maximum size, so it is broadcast.
+    The vocabulary is bounded by its maximum size, so every task holds it and looks the words
+    of a whole batch up at once; no row moves.
     """
-    tokens = F.slice(clean_tokens(clean), 1, max_len)
-    placed = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
-    ids = placed.join(F.broadcast(vocabulary.select("token", "token_id")), "token", "left").select(
-        key,
-        F.when(
-            F.col("token").isNotNull(),
-            F.struct("pos", F.coalesce("token_id", F.lit(OOV_ID)).alias("id")),
-        ).alias("placed"),
-    )
-    ordered = F.array_sort(F.collect_list("placed")).getField("id")
-    gathered = ids.groupBy(key).agg(ordered.alias("_ids"))
-    return gathered.select(key, pad_or_cut("_ids", max_len, PAD_ID).alias("ids"))
+    known = vocabulary.select("token", "token_id").collect()
+    words = pa.array([r["token"] for r in known], pa.string())
+    # Behind the last place: the id of a word that is not found.
+    numbers = np.array([*(r["token_id"] for r in known), OOV_ID], dtype=np.int32)
+    tokens = clean_tokens(clean) if max_len is None else F.slice(clean_tokens(clean), 1, max_len)
+
+    def look_up(batches):
+        for batch in batches:
+            lists = batch.column("tokens")
+            places = pc.fill_null(pc.index_in(lists.flatten(), value_set=words), len(words))
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(numbers[places.to_numpy()]))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), ids], names=["key", "ids"])
+
+    kind = df.schema[key].dataType.simpleString()
+    encoded = df.select(F.col(key).alias("key"), tokens.alias("tokens")).mapInArrow(look_up, f"key {kind}, ids array<int>")
+    ids = F.col("ids") if max_len is None else pad_or_cut("ids", max_len, PAD_ID)
+    return encoded.select(F.col("key").alias(key), ids.alias("ids"))
 
 
 def embedding_matrix(vocabulary, vectors, size):
-    """Vocabulary with its word vectors; words without one get zeros and ``hit = false``."""
+    """Vocabulary with its word vectors (word, vector); words without one get zeros and ``hit = false``."""
     from pyspark.ml.functions import vector_to_array
 
     known = vectors.select(F.col("word").alias("token"), vector_to_array("vector").alias("vector"))

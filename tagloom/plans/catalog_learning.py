@@ -6,7 +6,7 @@ from tagloom.functions.arrays import truncate_tokens
 from tagloom.functions.text import clean_tokens
 from tagloom.operators import augment, evaluate, predictions, quality, runs, splits, terms
 from tagloom.plans.catalog import query
-from tagloom.plans.catalog_text import clean_items, split_items, staged_items
+from tagloom.plans.catalog_text import clean_items, split_items, staged_clean, staged_items
 from tagloom.plans.oracle_parts import CLEAN, LOADED, SCORED, SPLIT, clean_sql, terms_cte
 from tagloom.session import scratch_table_path
 from tagloom.sources import driver_tables as src
@@ -77,7 +77,7 @@ def split_overlap(spark, root):
     [CLEAN],
 )
 def cv_folds(spark, root):
-    return splits.stratified_folds(clean_items(spark, root))
+    return splits.stratified_folds(staged_clean(spark, root))
 
 
 @query(

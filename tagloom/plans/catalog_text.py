@@ -32,15 +32,17 @@ def clean_items(spark, root):
 
 
 def split_items(spark, root):
-    return stratified_split(clean_items(spark, root))
+    return staged_items(spark, root)
 
 
-def staged_items(spark, root):
-    """Split texts for plans that read them several times.
+def staged_clean(spark, root):
+    """Cleaned texts, written once; what follows reads just the columns it needs."""
+    return save_stage(clean_items(spark, root), scratch_table_path(spark, "clean"))
+
 
-    The cleaned texts are written once; what follows reads just the columns it needs.
-    """
-    return stratified_split(save_stage(clean_items(spark, root), scratch_table_path(spark, "clean")))
+def staged_items(spark, root):
+    """Split texts; the split is settled on the written clean texts."""
+    return stratified_split(staged_clean(spark, root))
 
 
 @query(
