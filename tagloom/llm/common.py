@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tagloom.session import scratch_table_path
 
-#: Text handled at once inside a task.
-SLICE_BYTES = 16 << 20
+#: Text handled at once inside a task; a worker's memory is a small multiple of it.
+SLICE_BYTES = 4 << 20
+#: Rows of text sent to Python at once.
+BATCH_ROWS = 1000
 
 
 def read_table(spark, sf_dir, name):
@@ -32,23 +34,44 @@ def fresh_dir(spark, name):
 
 
 def id_and_text(docs, *more):
-    """Only the needed columns, a null text read as the empty text."""
+    """Only the needed columns, a null text read as the empty text.
+
+    Also sees to it that batches of texts sent to Python hold few rows, as texts can be long.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
 def text_slices(batches, column="text", limit=SLICE_BYTES):
     """Cut record batches so that each holds at most ``limit`` bytes of text (one row at least)."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        total = np.cumsum(sizes)
-        start = 0
-        while start < batch.num_rows:
-            before = total[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(total, before + limit, side="right")))
+        for start, stop in runs_within(pc.binary_length(batch.column(column)).fill_null(0), limit):
             yield batch.slice(start, stop - start)
-            start = stop
+        pa.default_memory_pool().release_unused()
+
+
+def gathered(batches, column="text", limit=SLICE_BYTES):
+    """Join consecutive batches until one holds about ``limit`` bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def runs_within(sizes, limit):
+    """Cut consecutive sizes (an Arrow array) into runs (start, stop) of at most ``limit`` in sum, one at least."""
+    total = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(total):
+        before = total[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, before + limit, side="right")))
+        yield start, stop
+        start = stop
 
 
 def store_of(uri):

@@ -17,7 +17,7 @@ import pyarrow.compute as pc  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 #: Distinct words remembered by a task between batches; those met again live on in the next generation.
-CACHED_WORDS = 350_000
+CACHED_WORDS = 150_000
 UNSAFE_SPACE = r" [\s\x0b\x{85}\p{Z}]"
 TRAILING = ".,"
 
@@ -65,6 +65,10 @@ class WordEncoder:
         self.spaced = normalizer is None
         self.recent, self.older = {}, {}
 
+    def forget(self):
+        """Drop the remembered words, where a caller keeps its own."""
+        self.recent, self.older = {}, {}
+
     def split(self, texts):
         """Words of texts (no nulls): codes, end of each text's codes, and the distinct words.
 

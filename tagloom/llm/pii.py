@@ -376,15 +376,12 @@ def masked(text, spans):
 
 def mask(docs, *more):
     """``docs`` as doc_id, text and the columns ``more``, with personal data masked in ``text``."""
-    found = find_spans(docs, fit(docs), *more)
-    columns = found.select("doc_id", "text", "spans", *more)
+    weights = fit(docs)
+    rows = id_and_text(docs, *more)
 
     def run(batches):
-        for batch in batches:
-            spans = batch.column("spans").to_pylist()
-            texts = [masked(t, [(s["kind"], s["start"], s["end"]) for s in own]) if own else t for t, own in zip(batch.column("text").to_pylist(), spans)]
-            at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["spans"])
-
-    fields = [f for f in columns.schema.fields if f.name != "spans"]
-    return columns.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields))
+        for batch in text_slices(batches):
+            texts = pa.array([masked(t, all_spans(t, weights)[1]) for t in batch.column("text").to_pylist()], pa.string())
+            yield batch.set_column(batch.schema.get_field_index("text"), "text", texts)
+
+    return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields))
