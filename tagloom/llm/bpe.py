@@ -17,51 +17,89 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import id_and_text, stage, text_slices
+from tagloom.llm.common import fresh_dir, fresh_name, gathered, id_and_text, read_file, runs_within, stage, text_slices, write_file
 from tagloom.llm.encoding import BYTE_CHARACTERS, opened, take_runs
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
+CHUNK = 1_000_000  # words or ids handled at once
 POSITIONS = -1  # the part of the row that holds a block's positions
 
-BLOCKS = "block long, part int, doc_ids array<long>, ends array<long>, codes binary, words array<string>"
-ARROW_BLOCKS = pa.schema(
-    [("block", pa.int64()), ("part", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("codes", pa.binary()), ("words", pa.list_(pa.string()))]
-)
-ENCODED_WORDS = "block long, part int, ids binary, lengths binary"
-ARROW_ENCODED_WORDS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("ids", pa.binary()), ("lengths", pa.binary())])
+BLOCKS = "block long, part int, words binary, path string"
+ARROW_BLOCKS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("words", pa.binary()), ("path", pa.string())])
+ENCODED_WORDS = "block long, part int, ids binary"
+ARROW_ENCODED_WORDS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("ids", pa.binary())])
 ENCODED = "doc_id long, ids array<int>"
 ARROW_ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+POSITION_FILE = pa.schema([("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("codes", pa.binary())])
 
 
-def pack_codes(codes):
-    """Word numbers as compressed byte planes: the high bytes are nearly all zero."""
-    return zstandard.ZstdCompressor(level=3).compress(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+def squeeze(lengths, content):
+    """Lengths and content of a list of strings or runs, compressed together."""
+    head = np.asarray(lengths, dtype="<u4").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(len(head).to_bytes(8, "little") + head + content)
 
 
-def unpack_codes(payload):
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), dtype=np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+def unsqueeze(payload):
+    raw = zstandard.ZstdDecompressor().decompress(payload)
+    size = int.from_bytes(raw[:8], "little")
+    return np.frombuffer(raw, dtype="<u4", count=size // 4, offset=8).astype(np.int64), raw[8 + size :]
+
+
+def squeeze_words(words):
+    """A string array without nulls as bytes."""
+    return squeeze(pc.binary_length(words).to_numpy(), b"".join(words.cast(pa.binary()).to_pylist()))
+
+
+def unsqueeze_words(payload):
+    lengths, content = unsqueeze(payload)
+    ends = np.cumsum(lengths).tolist()
+    return [content[a:b].decode() for a, b in zip([0, *ends], ends)]
+
+
+def write_positions(path, doc_ids, ends, codes):
+    """A block's documents and, for each position, the number of its word, as byte planes."""
+    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    row = pa.RecordBatch.from_pydict({"doc_ids": [doc_ids], "ends": [ends], "codes": [zstandard.ZstdCompressor(level=3).compress(planes)]}, schema=POSITION_FILE)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, POSITION_FILE) as out:
+        out.write_batch(row)
+    write_file(path, sink.getvalue())
+
+
+def read_positions(path):
+    row = pa.ipc.open_stream(read_file(path)).read_next_batch()
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.column("codes")[0].as_py()), dtype=np.uint8)
+    codes = planes.reshape(4, -1).T.copy().view("<u4").ravel()
+    return row.column("doc_ids")[0].values, row.column("ends")[0].values.to_numpy(), codes
 
 
 def split_blocks(docs, tokenizer, parts):
-    """The blocks of ``docs``: a row of positions each, and its distinct words by part, staged."""
+    """The blocks of ``docs``, staged: their distinct words by part, and where their positions are.
+
+    The positions stay in a file of the block in the shared folder; the staged table names the
+    files that count.
+    """
+    folder = fresh_dir(docs.sparkSession, "word-positions")
 
     def run(batches):
         base = TaskContext.get().partitionId() << 32
-        for number, batch in enumerate(text_slices(batches, limit=BLOCK_BYTES)):
+        for number, batch in enumerate(text_slices(gathered(batches, limit=BLOCK_BYTES), limit=2 * BLOCK_BYTES)):
             codes, ends, words = opened(tokenizer).split(batch.column("text"))
             part = np.fromiter((xxhash.xxh32_intdigest(w) % parts for w in words), dtype=np.int64, count=len(words))
             listed = pa.array(words, pa.string())
+            del words
             order = pc.sort_indices(pa.table({"part": part, "word": listed}), sort_keys=[("part", "ascending"), ("word", "ascending")]).to_numpy()
             place = np.empty(len(order), dtype=np.int64)
             place[order] = np.arange(len(order))
             listed, part = listed.take(pa.array(order)), part[order]
             kinds, starts = np.unique(part, return_index=True)
             cuts = [*starts, len(part)]
-            rows = {name: [base + number] + [base + number] * len(kinds) if name == "block" else [None] * (len(kinds) + 1) for name in ARROW_BLOCKS.names}
-            rows["part"] = [POSITIONS, *kinds]
-            rows["doc_ids"][0], rows["ends"][0], rows["codes"][0] = batch.column("doc_id").to_pylist(), ends, pack_codes(place[codes])
-            rows["words"][1:] = [listed[a:b].to_pylist() for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_pydict(rows, schema=ARROW_BLOCKS)
+            path = f"{folder}/{base + number}-{fresh_name()}.positions"
+            write_positions(path, batch.column("doc_id").to_pylist(), ends, place[codes])
+            squeezed = [squeeze_words(listed[a:b]) for a, b in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_pydict(
+                {"block": [base + number] * (len(kinds) + 1), "part": [POSITIONS, *kinds], "words": [None, *squeezed], "path": [path] + [None] * len(kinds)}, schema=ARROW_BLOCKS
+            )
 
     return stage(id_and_text(docs).mapInArrow(run, BLOCKS), "word-blocks")
 
@@ -72,14 +110,16 @@ def encode_words(words, tokenizer, parts):
     def run(batches):
         encoder, known = opened(tokenizer), {}
         for batch in batches:
-            for block, part, own in zip(*(batch.column(c).to_pylist() for c in ("block", "part", "words"))):
+            for block, part, squeezed in zip(*(batch.column(c).to_pylist() for c in ("block", "part", "words"))):
+                own = unsqueeze_words(squeezed)
                 new = [w for w in own if w not in known]
                 flat, offsets = encoder.ids_of(new)
+                encoder.forget()
                 for w, a, b in zip(new, offsets, offsets[1:]):
                     known[w] = flat[a:b].tobytes()
                 runs = [known[w] for w in own]
-                lengths = np.fromiter(map(len, runs), dtype="<u4", count=len(runs)) // 4
-                yield pa.RecordBatch.from_pydict({"block": [block], "part": [part], "ids": [b"".join(runs)], "lengths": [lengths.astype("<u4").tobytes()]}, schema=ARROW_ENCODED_WORDS)
+                lengths = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs)) // 4
+                yield pa.RecordBatch.from_pydict({"block": [block], "part": [part], "ids": [squeeze(lengths, b"".join(runs))]}, schema=ARROW_ENCODED_WORDS)
 
     return words.repartition(parts, "part").mapInArrow(run, ENCODED_WORDS)
 
@@ -93,22 +133,23 @@ def encode(docs, tokenizer):
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = split_blocks(docs, tokenizer, parts)
     words = blocks.filter(F.col("part") > POSITIONS).select("block", "part", "words")
-    found = encode_words(words, tokenizer, parts).groupBy("block").agg(F.collect_list(F.struct("part", "ids", "lengths")).alias("found"))
-    positions = blocks.filter(F.col("part") == POSITIONS).select("block", "doc_ids", "ends", "codes")
+    found = encode_words(words, tokenizer, parts).groupBy("block").agg(F.collect_list(F.struct("part", "ids")).alias("found"))
+    places = blocks.filter(F.col("part") == POSITIONS).select("block", "path")
 
     def run(batches):
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = {name: batch.column(name)[at] for name in ("doc_ids", "ends", "codes", "found")}
-                lists = sorted(row["found"].as_py(), key=lambda f: f["part"])
-                flat = np.frombuffer(b"".join(f["ids"] for f in lists), dtype="<u4")
-                offsets = np.concatenate([[0], np.cumsum(np.frombuffer(b"".join(f["lengths"] for f in lists), dtype="<u4"), dtype=np.int64)])
-                ids, run_ends = take_runs(flat, offsets, unpack_codes(row["codes"].as_py()))
-                ends = run_ends[row["ends"].values.to_numpy() - 1]
-                cut = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([row["doc_ids"].values, pa.ListArray.from_arrays(cut, pa.array(ids.astype(np.int32)))], schema=ARROW_ENCODED)
+            for path, lists in zip(batch.column("path").to_pylist(), batch.column("found")):
+                runs = [unsqueeze(f["ids"]) for f in sorted(lists.as_py(), key=lambda f: f["part"])]
+                flat = np.frombuffer(b"".join(r[1] for r in runs), dtype="<u4")
+                offsets = np.concatenate([[0], *(r[0] for r in runs)]).cumsum()
+                doc_ids, ends, codes = read_positions(path)
+                starts = np.concatenate([[0], ends[:-1]])
+                for first, last in runs_within(pa.array(ends - starts), CHUNK):
+                    ids, run_ends = take_runs(flat, offsets, codes[starts[first] : ends[last - 1]])
+                    cut = pa.array(np.concatenate([[0], run_ends[ends[first:last] - starts[first] - 1]]).astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([doc_ids[first:last], pa.ListArray.from_arrays(cut, pa.array(ids.astype(np.int32)))], schema=ARROW_ENCODED)
 
-    return positions.join(found, "block").select("doc_ids", "ends", "codes", "found").mapInArrow(run, ENCODED)
+    return places.join(found, "block").select("path", "found").mapInArrow(run, ENCODED)
 
 
 _PIECES = {}
@@ -140,7 +181,8 @@ def decode(encoded, tokenizer):
 
     def run(batches):
         pieces = pieces_of(tokenizer)
-        for batch in batches:
+        cut = (b.slice(i, j - i) for b in batches for i, j in runs_within(pc.list_value_length(b.column("ids")).fill_null(0), CHUNK))
+        for batch in cut:
             lists = pc.fill_null(batch.column("ids"), [])
             ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
