@@ -1,6 +1,7 @@
 """Secret scan: candidate strings, and a random forest that removes the false positives.
 
-A candidate is a run of key characters. Its features are its length, its character classes and
+A candidate is a run of at least 16 key characters, in which ``=`` is only padding at the end, or
+a shorter value that is assigned to a name with a credential word. Its features are its length, its character classes and
 transitions, how far common letter sequences of the corpus cover it (the dictionary), the path
 or source of its row, and the words next to it. The forest is trained here on labelled findings
 and votes on every candidate of every whole text.
@@ -15,7 +16,11 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.common import bounded_sample, id_and_text, text_slices
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{16,}+")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/=_-]))?")
+#: An assignment sign and the value behind it, quoted or up to a sign that ends a value.
+ASSIGNED = re.compile(r"""[=:]>?[ \t]{0,3}(?:(["'])([^"'\s]{6,200})\1|([^\s"'&;,<>(){}\[\]=:][^\s"'&;,<>(){}\[\]]{5,199}))""")
+NAME = re.compile(r"""([A-Za-z][A-Za-z0-9_-]*)["']?[ \t:]{0,3}\Z""")
+NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 BEFORE, BEHIND = 48, 16
 #: Words that name credentials.
 CREDENTIAL_WORDS = frozenset(("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "credential", "credentials", "auth", "bearer", "private", "access"))
@@ -27,6 +32,7 @@ TREES, DEPTH, LEAST_LEAF = 31, 8, 3
 
 LETTERS = 26
 WORD = re.compile(r"[A-Za-z_]+")
+ASSIGN_SIGNS = ("=", ":", "=>")
 
 
 def letter_counts(docs):
@@ -64,6 +70,11 @@ FEATURES = (
 )
 
 
+def is_credential(word):
+    """Whether a word, or a part of a name like ``access_token`` or ``apiKey``, names a credential."""
+    return word.lower() in CREDENTIAL_WORDS or any(p.lower() in CREDENTIAL_WORDS for p in NAME_PARTS.findall(word))
+
+
 def _kind(c):
     return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
 
@@ -80,6 +91,7 @@ def features(text, start, end, path, table):
     codes = (letters[:-2] * LETTERS + letters[1:-1]) * LETTERS + letters[2:]
     known = table[codes[fine[:-2] & fine[1:-1] & fine[2:]]]
     before, behind = text[max(0, start - BEFORE) : start], text[end : end + BEHIND]
+    named = any(map(is_credential, WORD.findall(before)[-3:]))
     words = [w.lower() for w in WORD.findall(before)[-3:]]
     changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
     mixed = sum((a == 0) != (b == 0) for a, b in zip(kinds, kinds[1:]))
@@ -88,13 +100,34 @@ def features(text, start, end, path, table):
     return [
         size, len(counts) / size, entropy, kinds.count(0) / size, kinds.count(2) / size, (kinds.count(1) + kinds.count(2)) / size, float(not own.lower().strip("0123456789abcdef")),
         changes / size, mixed / size, float((known > -3.5).sum()) / size, float(known.mean()) if len(known) else -6.0, max(runs, default=0) / size, kinds.count(3) / size,
-        path.count("/"), (sum(path.encode()) % 97) / 97, float(any(w in CREDENTIAL_WORDS for w in words)), float(before.rstrip(" \"'").endswith(("=", ":"))),
+        path.count("/"), (sum(path.encode()) % 97) / 97, float(named), float(before.rstrip(" \t\"'").endswith(ASSIGN_SIGNS)),
         float(before[-1:] in "\"'" and before != ""), float(any(w in own.lower() or w in words for w in PLACEHOLDERS)), len(words) + len(WORD.findall(behind)), max(counts) / size,
     ]
 
 
 def findings(text):
-    return [m.span() for m in CANDIDATE.finditer(text)]
+    """Spans of the candidates of a text, in order; none overlap.
+
+    A value assigned to a credential name is a candidate from 6 characters on. If it is quoted, it
+    is taken whole and stands for the runs inside it; otherwise the runs stay and it is left out.
+    """
+    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    out, at = [], 0
+    for m in ASSIGNED.finditer(text):
+        name = NAME.search(text, max(0, m.start() - BEFORE), m.start())
+        if name is None or not is_credential(name[1]):
+            continue
+        a, b = m.span(2 if m[1] else 3)
+        while at < len(runs) and runs[at][1] <= a:
+            out.append(runs[at])
+            at += 1
+        until = at
+        while until < len(runs) and runs[until][0] < b:
+            until += 1
+        if until == at or (m[1] and a <= runs[at][0] and runs[until - 1][1] <= b):
+            out.append((a, b))
+            at = until
+    return out + runs[at:]
 
 
 def rule_label(text, start, end):
@@ -102,11 +135,10 @@ def rule_label(text, start, end):
 
     Stands in for a table of reviewed findings; ``fit`` takes such a table as well.
     """
-    before = text[max(0, start - BEFORE) : start].rstrip(" \"'")
-    words = [w.lower() for w in WORD.findall(before)[-3:]]
+    before = text[max(0, start - BEFORE) : start].rstrip(" \t\"'")
     own = text[start:end].lower()
     digits = sum(c.isdigit() for c in own)
-    return int(before.endswith(("=", ":")) and any(w in CREDENTIAL_WORDS for w in words) and digits > 1 and not any(w in own for w in PLACEHOLDERS))
+    return int(before.endswith(ASSIGN_SIGNS) and any(map(is_credential, WORD.findall(before)[-3:])) and digits > 1 and not any(w in own for w in PLACEHOLDERS))
 
 
 def grow(rows, labels, rng, depth=DEPTH):

@@ -208,3 +208,18 @@ def test_letter_counts_cover_all_texts(documents):
     got = {r.code: r.n for r in secret_scan.letter_counts(documents).groupBy("code").agg(F.sum("n").alias("n")).collect()}
     code = lambda w: ((ord(w[0]) - 97) * 26 + ord(w[1]) - 97) * 26 + ord(w[2]) - 97
     assert {code(w): n for w, n in want.items()} == got and np.isfinite(secret_scan.dictionary(documents)).all()
+
+
+def test_assigned_values_are_candidates_and_secrets(spark):
+    """key=value, env line, query string, padding and short quoted values: the value alone, labelled and voted a secret."""
+    values = [hashlib.sha256(str(i).encode()).hexdigest()[:32] for i in range(30)]
+    forms = [lambda v: (f"set API_KEY={v} now", v), lambda v: (f"export token={v}\n", v), lambda v: (f"GET https://h.org/p?access_token={v}&x=1", v)]
+    forms += [lambda v: (f"secret = {v}==", v + "=="), lambda v: (f'password = "{v[:5]}!{v[5:9]}"', f"{v[:5]}!{v[5:9]}")]
+    cases = [(f(v), 1) for v in values for f in forms] + [((f"the {'abcdefghij'[i % 10] * 3}ordinarylongcompoundword here", None), 0) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "s") for i, ((t, _), _) in enumerate(cases)], "doc_id long, text string, source string")
+    got = {r.doc_id: r.secrets for r in secret_scan.scan(docs).collect()}
+    for i, ((text, value), label) in enumerate(cases):
+        spans = secret_scan.findings(text)
+        assert len(spans) == 1 and secret_scan.rule_label(text, *spans[0]) == label
+        assert not value or text[slice(*spans[0])] == value
+        assert got[i] == (f"{spans[0][0]}:{spans[0][1]}" if label else "")
