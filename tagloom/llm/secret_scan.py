@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import bounded_sample, id_and_text, text_slices
+from tagloom.llm.common import id_and_text, stage, text_slices
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/=_-]))?")
 #: An assignment sign and the value behind it, quoted or up to a sign that ends a value.
@@ -25,8 +25,7 @@ BEFORE, BEHIND = 48, 16
 #: Words that name credentials.
 CREDENTIAL_WORDS = frozenset(("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "credential", "credentials", "auth", "bearer", "private", "access"))
 PLACEHOLDERS = frozenset(("example", "sample", "dummy", "placeholder", "test", "your", "xxx", "changeme", "fake"))
-#: Bounds of the labelled findings used for training: documents, and candidates of them.
-SAMPLE_DOCUMENTS = 8000
+#: Most labelled findings used for training; half for each label.
 SAMPLE_FINDINGS = 5000
 TREES, DEPTH, LEAST_LEAF = 31, 8, 3
 
@@ -168,11 +167,16 @@ def grow(rows, labels, rng, depth=DEPTH):
 
 
 def train(rows, labels, seed=3):
-    """A forest of TREES trees."""
+    """A forest of TREES trees, each on a bootstrap sample with as many rows of either label.
+
+    So few secrets weigh as much as many other findings. If one label does not occur, every tree
+    is the leaf of the other.
+    """
     rng = np.random.default_rng(seed)
+    sides = [side for side in (np.flatnonzero(labels == 0), np.flatnonzero(labels != 0)) if len(side)]
     forest = []
     for _ in range(TREES):
-        drawn = rng.integers(0, len(labels), len(labels))
+        drawn = np.concatenate([side[rng.integers(0, len(side), -(-len(labels) // len(sides)))] for side in sides])
         forest.append(grow(rows[drawn], labels[drawn], rng))
     return forest
 
@@ -191,20 +195,14 @@ def _to_list(node):
     return node if isinstance(node, float) else [node[0], node[1], _to_list(node[2]), _to_list(node[3])]
 
 
-def fit(docs, table, sample=SAMPLE_DOCUMENTS, labelled=None):
-    """A forest trained in one task on at most SAMPLE_FINDINGS findings of ``sample`` documents.
-
-    ``labelled`` is a table (doc_id, start, end, label) of reviewed findings; without it the
-    sampled documents' findings are labelled by ``rule_label``. None if there is no finding.
-    """
-    import json
-
+def distinct_findings(docs, table, labelled=None):
+    """(features, label) of the findings of all ``docs``, equal ones once, stored."""
     rows = id_and_text(docs, F.col("source").cast("string").alias("source"))
     if labelled is not None:
-        marks = bounded_sample(labelled, "doc_id", sample).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "label")).alias("marks"))
-        rows = rows.join(F.broadcast(marks), "doc_id")
+        marks = labelled.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "label")).alias("marks"))
+        rows = rows.join(marks, "doc_id")
     else:
-        rows = bounded_sample(rows, "doc_id", sample).filter(F.col("text").rlike("[A-Za-z0-9+/=_-]{16}")).withColumn("marks", F.lit(None).cast("array<struct<start:long,end:long,label:int>>"))
+        rows = rows.filter(F.col("text").rlike("[A-Za-z0-9+/_-]{16}|[=:]")).withColumn("marks", F.lit(None).cast("array<struct<start:long,end:long,label:int>>"))
 
     def run(batches):
         for batch in text_slices(batches):
@@ -216,6 +214,26 @@ def fit(docs, table, sample=SAMPLE_DOCUMENTS, labelled=None):
                     out["label"].append(label)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("features", pa.list_(pa.float64())), ("label", pa.int32())]))
 
+    found = rows.select("text", "source", "marks").mapInArrow(run, "features array<double>, label int")
+    return stage(found.distinct(), "secret-findings")
+
+
+def sampled_findings(found, limit=SAMPLE_FINDINGS):
+    """Of each label the ``limit // 2`` findings with the smallest hashes."""
+    by_hash = [F.xxhash64("features"), F.col("features")]
+    sides = [found.filter(side).orderBy(*by_hash).limit(limit // 2) for side in (F.col("label") == 0, F.col("label") != 0)]
+    return sides[0].unionByName(sides[1])
+
+
+def fit(docs, table, labelled=None):
+    """A forest trained in one task on at most SAMPLE_FINDINGS distinct findings of all ``docs``.
+
+    ``labelled`` is a table (doc_id, start, end, label) of reviewed findings; without it all
+    findings of all rows are labelled by ``rule_label``. None if there is no finding at all; if all
+    findings have one label, the forest gives this label to every candidate.
+    """
+    import json
+
     def learn(frame):
         import pandas as pd
 
@@ -223,8 +241,7 @@ def fit(docs, table, sample=SAMPLE_DOCUMENTS, labelled=None):
         order = np.lexsort((*matrix.T, labels))  # the same forest whatever the order of arrival
         return pd.DataFrame({"forest": [json.dumps([_to_list(t) for t in train(matrix[order], labels[order])])]})
 
-    found = rows.select("text", "source", "marks").mapInArrow(run, "features array<double>, label int")
-    found = found.orderBy(F.xxhash64("features")).limit(SAMPLE_FINDINGS)
+    found = sampled_findings(distinct_findings(docs, table, labelled))
     row = found.groupBy(F.lit(0).alias("all")).applyInPandas(learn, "forest string").first()
     return None if row is None else json.loads(row[0])
 
@@ -233,7 +250,8 @@ def scan(docs):
     """doc_id, n_candidates, n_secrets, candidates, secrets (``start:end`` in code points) of each row.
 
     Every candidate of the whole text is judged; a secret has a vote of at least one half. A
-    null text is empty. Without any finding to learn from, all candidates stay secrets.
+    null text is empty. If the review rule labels no finding of all rows a secret, there is none;
+    if it labels all so, all are.
     """
     table = dictionary(docs)
     forest = fit(docs, table)

@@ -223,3 +223,28 @@ def test_assigned_values_are_candidates_and_secrets(spark):
         assert len(spans) == 1 and secret_scan.rule_label(text, *spans[0]) == label
         assert not value or text[slice(*spans[0])] == value
         assert got[i] == (f"{spans[0][0]}:{spans[0][1]}" if label else "")
+
+
+def secrets_of(spark, texts):
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    return docs, {r.doc_id: r.n_secrets for r in secret_scan.scan(docs).collect()}
+
+
+def test_rare_secrets_among_copies_are_learned(spark):
+    """A few secrets between many copies of one text and more other findings than the sample holds."""
+    digest = lambda i: hashlib.sha256(str(i).encode()).hexdigest()[:40]
+    secrets = [f'token = "{digest(i)}"' for i in range(4)]
+    texts = ["one ordinarylongcompoundword again"] * 6000 + [f"see {digest(i)}{'ghi'[i % 3] * (i % 50)} there" for i in range(6000)] + secrets
+    docs, got = secrets_of(spark, texts)
+    assert [got[len(texts) - 4 + i] for i in range(4)] == [1] * 4
+    assert sum(got.values()) <= 4 + 60
+    found = secret_scan.distinct_findings(docs, secret_scan.dictionary(docs))
+    kept = [r.label for r in secret_scan.sampled_findings(found).collect()]
+    assert found.count() == found.distinct().count() and sum(kept) == 4 and len(kept) <= secret_scan.SAMPLE_FINDINGS // 2 + 4
+
+
+def test_findings_of_one_label(spark):
+    digests = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(9)]
+    assert set(secrets_of(spark, [f"see {d} there" for d in digests])[1].values()) == {0}
+    assert set(secrets_of(spark, [f"token = {d}" for d in digests])[1].values()) == {1}
+    assert set(secrets_of(spark, ["no finding", None])[1].values()) == {0}
