@@ -4,25 +4,29 @@ The model scores whole candidate segments of up to MAX_TOKENS tokens by features
 (digits, groups, checksum, signs, words before) and of its borders. Dynamic programming over the
 tokens of a stretch around digits and at-signs chooses boundaries and kinds together. Weights
 come from maximum likelihood, trained on a bounded sample in which the base patterns, also in
-variants that these patterns miss, are the wanted segments.
+variants that these patterns miss, are the wanted segments. The sample is of stretches of all rows,
+drawn by hash for each kind and for stretches without personal data.
 """
 
+import heapq
 import random
 import re
+import zlib
 from math import exp, log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import bounded_sample, id_and_text, text_slices
+from tagloom.llm.common import id_and_text, stage, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 24
 REACH = 48  # characters of a stretch on either side of a digit or at-sign
-#: Bounds of the training sample: documents, and stretches taken from them.
-SAMPLE_DOCUMENTS = 4000
-SAMPLE_STRETCHES = 400
+#: Bound of the training sample: distinct stretches for each kind, and as many without personal data.
+SAMPLE_STRETCHES = 80
+#: The longest stretch used for training, in characters.
+LONGEST_STRETCH = 1000
 EPOCHS = 8
 #: Least score over "no personal data" of a span that is added.
 MARGIN = 1.0
@@ -280,32 +284,68 @@ def plain_numbers(order):
     return f"of the {order.choice(forms)} and then", []
 
 
+def sides_of(text):
+    """(kind or "", stretch) of the stretches of a text that hold whole base spans, or none."""
+    spans = base_spans(text)
+    for a, b in stretches(text):
+        near = [(k, s, e) for k, s, e in spans if s < b and e > a]
+        if b - a <= LONGEST_STRETCH and all(a <= s and e <= b for _, s, e in near):
+            for kind in {k for k, _, _ in near} or {""}:
+                yield kind, text[a:b]
+
+
+def sampled_stretches(docs, limit=SAMPLE_STRETCHES):
+    """(kind, stretch): for each kind, and for none (""), the ``limit`` distinct stretches of all rows with the smallest hashes."""
+
+    def run(batches):
+        held = {kind: [] for kind in ("", *KINDS)}  # heaps of the smallest hashes, so a task sends few rows
+        known = {kind: set() for kind in held}
+        for batch in text_slices(batches):
+            for text in batch.column("text").to_pylist():
+                for kind, stretch in sides_of(text):
+                    item = (-zlib.crc32(stretch.encode()), stretch)
+                    if item in known[kind] or (len(held[kind]) >= limit and item < held[kind][0]):
+                        continue
+                    known[kind].add(item)
+                    heapq.heappush(held[kind], item)
+                    if len(held[kind]) > limit:
+                        known[kind].discard(heapq.heappop(held[kind]))
+        rows = [(kind, -h, stretch) for kind, items in held.items() for h, stretch in items]
+        yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in enumerate((pa.string(), pa.int64(), pa.string()))], names=["kind", "hash", "stretch"])
+
+    found = id_and_text(docs).filter(F.col("text").rlike("[0-9@]")).select("text").mapInArrow(run, "kind string, hash long, stretch string")
+    found = stage(found.distinct(), "pii-stretches")
+    chosen = [found.filter(F.col("kind") == kind).orderBy("hash", F.desc("stretch")).limit(limit) for kind in ("", *KINDS)]
+    for more in chosen[1:]:
+        chosen[0] = chosen[0].unionByName(more)
+    return chosen[0].select("kind", "stretch")
+
+
 def training_data(texts):
-    """Stretches with wanted spans from sampled texts, their variants, and plain numbers."""
-    order, out = random.Random(7), []
-    for text in texts:
-        spans = base_spans(text)
-        for a, b in stretches(text):
-            inside = [(k, s - a, e - a) for k, s, e in spans if a <= s and e <= b]
-            cut = any(s < b and e > a and not (a <= s and e <= b) for _, s, e in spans)
-            if len(out) < SAMPLE_STRETCHES and b - a <= 1000 and not cut:
-                out.append((text[a:b], inside))
+    """Stretches with wanted spans, their variants, and plain numbers.
+
+    Few stretches come again with other variants, so that training has enough steps.
+    """
+    order = random.Random(7)
+    out = [(text, base_spans(text)) for text in texts]
+    if not any(spans for _, spans in out):
+        return []
+    order.shuffle(out)
+    out *= max(1, SAMPLE_STRETCHES * len(KINDS) // (2 * len(out)))
     ready = [v for text, spans in out for v in variants(text, spans, order)]
-    return ready + [plain_numbers(order) for _ in range(len(ready))] if any(s for _, s in out) else []
+    return ready + [plain_numbers(order) for _ in range(len(ready))]
 
 
-def fit(docs, sample=SAMPLE_DOCUMENTS):
-    """Weights trained in one task on at most ``sample`` documents; None if they hold no base span."""
+def fit(docs):
+    """Weights trained in one task on sampled stretches of all ``docs``; None if no row holds a base span in a usable stretch."""
 
     def run(frame):
         import pandas as pd
 
-        texts = frame.sort_values(["doc_id", "text"])["text"]
-        data = training_data(texts)
+        data = training_data(sorted(set(frame["stretch"])))
         return pd.DataFrame({"weights": [train(data).ravel().tolist() if data else None]})
 
-    chosen = bounded_sample(id_and_text(docs), "doc_id", sample).filter(F.col("text").rlike("[0-9@]"))
-    row = chosen.groupBy(F.lit(0).alias("all")).applyInPandas(run, "weights array<double>").first()
+    row = sampled_stretches(docs).groupBy(F.lit(0).alias("all")).applyInPandas(run, "weights array<double>").first()
     return None if row is None or row[0] is None else np.array(row[0]).reshape(len(FEATURES), len(KINDS))
 
 

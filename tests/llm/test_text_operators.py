@@ -248,3 +248,16 @@ def test_findings_of_one_label(spark):
     assert set(secrets_of(spark, [f"see {d} there" for d in digests])[1].values()) == {0}
     assert set(secrets_of(spark, [f"token = {d}" for d in digests])[1].values()) == {1}
     assert set(secrets_of(spark, ["no finding", None])[1].values()) == {0}
+
+
+def test_personal_data_behind_many_numbers_is_learned(spark):
+    """Low ids hold only numbers, and copies of one text; cards come last."""
+    gap = " " + "some words without any of them " * 4
+    texts = [gap.join(f"row {100 * i + k} of it" for k in range(10)) for i in range(80)] + ["write a@b.org now"] * 300
+    texts += [f"pay {card} now {'abc'[i % 3] * i}" for i, card in enumerate(["4111 1111 1111 1111", "4012888888881881", "5500-0055-5555-5559"] * 10)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert pii.all_spans("see 4111111111111111 5500005555555559 there", pii.fit(docs))[1] == [("card", 4, 20), ("card", 21, 37)]
+    drawn = [tuple(r) for r in pii.sampled_stretches(docs, 20).collect()]
+    assert len(drawn) == len(set(drawn)) and Counter(k for k, _ in drawn) == {"": 20, "card": 20, "email": 1}
+    assert sorted(drawn) == sorted(tuple(r) for r in pii.sampled_stretches(docs.repartition(7), 20).collect())
+    assert pii.fit(docs.filter("text not like '%@%' and text not like 'pay%'")) is None
