@@ -32,8 +32,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def root():
     return DATA
-
-
-def plan_of(df):
-    """Physical plan text of a DataFrame."""
-    return df._jdf.queryExecution().executedPlan().toString()

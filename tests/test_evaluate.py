@@ -128,7 +128,7 @@ def test_thresholds_by_brute_force(scored):
 
 
 def test_threshold_reads_data_in_one_small_aggregate(scored):
-    from conftest import plan_of
+    from plans import plan_of
 
     plan = plan_of(evaluate.threshold_scores(scored[1]))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

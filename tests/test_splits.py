@@ -115,7 +115,7 @@ def test_tops(spark):
 
 
 def test_group_limit_is_pushed_below_the_shuffle(spark):
-    from conftest import plan_of
+    from plans import plan_of
 
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), "id")
     assert plan_of(top_per_group(df, ["g"], ["id"], 2)).count("WindowGroupLimit") == 2

@@ -40,7 +40,7 @@ def test_histogram(numbers):
 
 
 def test_histogram_counts_the_source_once(numbers):
-    from conftest import plan_of
+    from plans import plan_of
 
     plan = plan_of(stats.histogram(numbers[1], "v", 40))
     assert "Cartesian" not in plan and "InMemoryTableScan" not in plan  # only the written counts

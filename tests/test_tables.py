@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plans import plan_of
 from tagloom.operators import evaluate, quality, runs
 from tagloom.plans.reports import REPORTS, run_reports
 from tagloom.schemas import PREDICTIONS, classes_table

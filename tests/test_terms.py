@@ -93,7 +93,7 @@ def test_top_tokens(corpus):
 
 
 def test_statistics_use_one_shuffle(corpus):
-    from conftest import plan_of
+    from plans import plan_of
 
     plan = plan_of(terms.term_statistics(terms.with_terms(corpus[1])))
     above_cache = plan.split("InMemoryTableScan")[0]

@@ -124,7 +124,7 @@ def test_empty_texts_are_dropped(spark):
 
 def test_text_is_cleaned_once(spark, root):
     """The drop of empty texts must not run the cleaning expressions a second time."""
-    from conftest import plan_of
+    from plans import plan_of
     from tagloom.sources import driver_tables as src
 
     plan = plan_of(with_clean_text(src.documents(spark, root)))
