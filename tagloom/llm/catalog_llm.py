@@ -6,6 +6,7 @@ import corpus_pipeline
 from tagloom.llm.bpe import round_trip
 from tagloom.llm.common import read_table
 from tagloom.llm.exact_dedup import mark_duplicates
+from tagloom.llm.lexical_search import search
 from tagloom.llm.minhash import near_duplicates
 from tagloom.llm.packing import pack
 from tagloom.llm.pii import personal_data
@@ -14,6 +15,7 @@ from tagloom.llm.quality_rules import judge_quality
 from tagloom.llm.secret_scan import scan
 from tagloom.llm.url_filter import BLOCKED_SITES, judge
 from tagloom.llm.wavelet import shard_and_read
+from tagloom.llm.whitening import whiten
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -156,6 +158,33 @@ def op10_secret_scan(spark, sf_dir):
     return scan(read_table(spark, sf_dir, "documents"))
 
 
+@query()
+def op11_whitening(spark, sf_dir):
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    sql=f"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS t FROM documents),
+    figures AS (SELECT count(*) FILTER (WHERE len(t) > 0) AS big_n, coalesce(sum(len(t)), 0) AS big_l FROM d),
+    q AS (SELECT item_id, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+    qc AS (SELECT item_id, term, count(*) AS qc FROM q GROUP BY ALL),
+    p AS (SELECT rid, doc_id, len(t) AS n, unnest(t) AS term FROM d),
+    tf AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM p WHERE term IN (SELECT term FROM qc) GROUP BY ALL),
+    w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+          FROM tf, figures GROUP BY term, big_n),
+    c AS (SELECT rid, doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l)) AS c FROM tf, figures),
+    s AS (SELECT item_id, rid, doc_id, sum(qc * w * c) AS score FROM qc JOIN w USING (term) JOIN c USING (term) GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST, rid) AS rank FROM s WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 20"""
+)
+def op13_lexical_search(spark, sf_dir):
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
