@@ -7,6 +7,7 @@ from tagloom.llm.bpe import round_trip
 from tagloom.llm.common import read_table
 from tagloom.llm.exact_dedup import mark_duplicates
 from tagloom.llm.lexical_search import search
+from tagloom.llm.lm_scoring import score as lm_score
 from tagloom.llm.minhash import near_duplicates
 from tagloom.llm.packing import pack
 from tagloom.llm.pii import personal_data
@@ -163,6 +164,11 @@ def op11_whitening(spark, sf_dir):
     return whiten(read_table(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op12_lm_scoring(spark, sf_dir):
+    return lm_score(read_table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 _TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 
