@@ -32,12 +32,17 @@ def orphans(child, parent, child_key, parent_key=None):
 
 
 def vote_violations(loaded, votes=VOTE_COLUMNS):
-    """Rows whose votes do not sum to the panel size or whose class is not the most voted."""
+    """Rows whose votes do not sum to the panel size or whose class is not the most voted.
+
+    A NULL vote, panel size or class is a violation of the check it enters (never a silent pass),
+    so such rows are reported with that flag false.
+    """
     total = reduce(lambda a, b: a + b, (F.col(v) for v in votes))
+    any_null = reduce(lambda a, b: a | b, (F.col(v).isNull() for v in votes))
     return loaded.withColumns(
         {
-            "sum_ok": total == F.col("annotator_count"),
-            "class_ok": majority_class(votes) == F.col("class_id"),
+            "sum_ok": F.coalesce(total == F.col("annotator_count"), F.lit(False)),
+            "class_ok": ~any_null & F.coalesce(majority_class(votes) == F.col("class_id"), F.lit(False)),
         }
     ).where(~F.col("sum_ok") | ~F.col("class_ok"))
 

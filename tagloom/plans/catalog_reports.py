@@ -223,9 +223,10 @@ def unique_class_name(spark, root):
     "vote_invariants",
     "tweet_id b, sum_ok l, class_ok l",
     """SELECT tweet_id, sum_ok, class_ok FROM (
-         SELECT tweet_id, hate_votes + offensive_votes + neither_votes = annotator_count AS sum_ok,
-           class_id = CASE WHEN hate_votes >= offensive_votes AND hate_votes >= neither_votes THEN 0
-             WHEN offensive_votes >= neither_votes THEN 1 ELSE 2 END AS class_ok
+         SELECT tweet_id, coalesce(hate_votes + offensive_votes + neither_votes = annotator_count, FALSE) AS sum_ok,
+           hate_votes IS NOT NULL AND offensive_votes IS NOT NULL AND neither_votes IS NOT NULL
+           AND coalesce(class_id = CASE WHEN hate_votes >= offensive_votes AND hate_votes >= neither_votes THEN 0
+             WHEN offensive_votes >= neither_votes THEN 1 ELSE 2 END, FALSE) AS class_ok
          FROM (SELECT user_id AS tweet_id, count(*) AS annotator_count,
                  count(*) FILTER (event_type = 'error') AS hate_votes,
                  count(*) FILTER (event_type = 'click') AS offensive_votes,
