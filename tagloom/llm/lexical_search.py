@@ -60,7 +60,7 @@ def postings(documents, query_terms):
     """Per document row and query term: doc_id, row key, term, tf, n; and the corpus figures N, L."""
     docs = documents.select(
         F.monotonically_increasing_id().alias("rk"), F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("t")
-    ).withColumn("n", F.size("t"))
+    ).withColumn("n", F.size("t").cast("long"))
     figures = docs.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
     found = docs.select("rk", "doc_id", "n", F.explode("t").alias("term")).join(query_terms, "term", "left_semi")
     tf = found.groupBy("rk", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -91,7 +91,7 @@ def search(documents, benchmark, k=TOP):
     tf, big_n, big_l = postings(documents, query_terms)
     if big_l == 0:
         return documents.sparkSession.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-    m = F.lit(75) + F.expr(f"(25 * n * {big_n}) div {big_l}")
+    m = F.lit(75) + F.expr(f"(25L * n * {big_n}L) div {big_l}L")
     contrib = tf.withColumn("m", m).select("rk", "doc_id", "term", F.expr("(1000000000L * tf) div (1000L * tf + 12L * m)").alias("c"))
     contrib = stage(contrib, "lexical-contrib")
     w = stage(weights(contrib, big_n), "lexical-weights")
