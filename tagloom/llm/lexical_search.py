@@ -57,14 +57,21 @@ def item_terms(benchmark):
 
 
 def postings(documents, query_terms):
-    """Per document row and query term: doc_id, row key, term, tf, n; and the corpus figures N, L."""
+    """Per document row and query term: row key, doc_id, n, term, tf; and the corpus figures N, L.
+
+    Terms are extracted once: each row also yields one marker row (term NULL) carrying its
+    length n, and the figures are summed from those markers of the written table.
+    """
     docs = documents.select(
         F.monotonically_increasing_id().alias("rk"), F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("t")
     ).withColumn("n", F.size("t").cast("long"))
-    figures = docs.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
-    found = docs.select("rk", "doc_id", "n", F.explode("t").alias("term")).join(query_terms, "term", "left_semi")
-    tf = found.groupBy("rk", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return tf, int(figures["N"]), int(figures["L"])
+    exploded = docs.select("rk", "doc_id", "n", F.explode(F.concat("t", F.array(F.lit(None).cast("string")))).alias("term"))
+    asked = query_terms.select("term", F.lit(True).alias("asked"))
+    found = exploded.join(asked, "term", "left").where(F.col("asked") | F.col("term").isNull())
+    tf = stage(found.groupBy("rk", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf")), "lexical-tf")
+    markers = tf.where(F.col("term").isNull())
+    figures = markers.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
+    return tf.where(F.col("term").isNotNull()), int(figures["N"]), int(figures["L"])
 
 
 def weights(tf, big_n):
@@ -93,7 +100,6 @@ def search(documents, benchmark, k=TOP):
         return documents.sparkSession.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     m = F.lit(75) + F.expr(f"(25L * n * {big_n}L) div {big_l}L")
     contrib = tf.withColumn("m", m).select("rk", "doc_id", "term", F.expr("(1000000000L * tf) div (1000L * tf + 12L * m)").alias("c"))
-    contrib = stage(contrib, "lexical-contrib")
     w = stage(weights(contrib, big_n), "lexical-weights")
     placed = stage(contrib.join(leaves(contrib, w), "rk").join(w, "term"), "lexical-postings")
     # columns: term, rk, doc_id, c, top, sub, w  -- leaf = (top, sub), upper node = top
