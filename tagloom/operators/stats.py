@@ -39,8 +39,8 @@ def _value_rows(df, value, group=()):
 def describe(df, value):
     """count, mean, sample deviation, min, quartiles and max of a numeric column.
 
-    The exact quartiles hold one entry per distinct value, so the column should be a count
-    or a length (bounded by the longest text), not a continuous measure.
+    The quartiles are exact order statistics found by narrowing counted ranges
+    (``exact_quantiles``), so a continuous column costs a few passes, not an entry per value.
     """
     counts = _value_rows(df, value)
     v = F.col("value").cast("double")
@@ -50,23 +50,110 @@ def describe(df, value):
         (total / n).alias("mean"),
         F.min("value").cast("double").alias("minimum"),
         F.max("value").cast("double").alias("maximum"),
-        F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("rows")).alias("q"),
         F.sum(v * v * F.col("rows")).alias("sq"),
         total.alias("total"),
     )
+    q = exact_quantiles(df, value, [0.25, 0.5, 0.75]).first()
+    q = [q[f"q{i}"] for i in range(3)] if q else [None] * 3
     spread = F.col("sq") - F.col("total") * F.col("total") / F.col("n")
     return basics.select(
         "n",
         "mean",
         F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), F.col("n") - 1)).alias("std"),
         "minimum",
-        F.col("q")[0].alias("q25"),
-        F.col("q")[1].alias("q50"),
-        F.col("q")[2].alias("q75"),
+        *(F.lit(x).cast("double").alias(name) for x, name in zip(q, ("q25", "q50", "q75"))),
         "maximum",
     )
 
 
+#: Buckets a counted range is cut into at each pass of ``exact_quantiles``.
+RANGE_BUCKETS = 1024
+#: Rows of a range small enough to be read whole.
+RANGE_ROWS = 1024
+
+
+def order_statistics(df, value, ranks, group=None):
+    """Exact k-th smallest values (0-based ``ranks`` per group key) by narrowing counted ranges.
+
+    Each pass cuts every open range into RANGE_BUCKETS equal parts and counts, in one aggregate,
+    the rows, least and largest value of each part; the part holding a rank, from its least to
+    its largest value, becomes the range (parts are contiguous in value order, so this range
+    holds exactly that part's rows). A range of one value is the answer; one of at most
+    RANGE_ROWS rows is read whole, all such ranges in one job. Nothing holds one entry per
+    distinct value. NULL values are not counted. Returns {(group key, rank): value}.
+    """
+    rows = df.select((F.col(group) if group else F.lit(None)).alias("g"), F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    bounds = {r["g"]: (r["lo"], r["hi"]) for r in rows.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    state, found = {}, {}
+    for g, ks in ranks.items():
+        for k in ks:
+            if g in bounds:
+                lo, hi = bounds[g]
+                if lo == hi:
+                    found[g, k] = lo
+                else:
+                    state[g, k] = (lo, hi, 0)
+
+    def within(g, lo, hi):
+        return F.col("g").eqNullSafe(F.lit(g)) & (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi))
+
+    while state:
+        targets = list(state.items())
+        cases = []
+        for i, ((g, _), (lo, hi, _)) in enumerate(targets):
+            bucket = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit((hi - lo) / RANGE_BUCKETS)), F.lit(RANGE_BUCKETS - 1))
+            cases.append(F.when(within(g, lo, hi), F.struct(F.lit(i).alias("t"), bucket.cast("int").alias("b"), F.col("v").alias("v"))))
+        hits = rows.select(F.explode(F.filter(F.array(*cases), lambda c: c.isNotNull())).alias("c"))
+        cells = {}
+        for r in hits.groupBy("c.t", "c.b").agg(F.count(F.lit(1)).alias("n"), F.min("c.v").alias("lo"), F.max("c.v").alias("hi")).collect():
+            cells.setdefault(r["t"], []).append((r["b"], r["n"], r["lo"], r["hi"]))  # at most RANGE_BUCKETS per target
+        state, reads = {}, []
+        for i, ((g, k), (_, _, below)) in enumerate(targets):
+            seen = below
+            for _, n, lo, hi in sorted(cells.get(i, [])):
+                if seen + n > k:
+                    if lo == hi:
+                        found[g, k] = lo
+                    elif n <= RANGE_ROWS:
+                        reads.append(((g, k), lo, hi, seen))
+                    else:
+                        state[g, k] = (lo, hi, seen)
+                    break
+                seen += n
+        if reads:
+            tags = [F.when(within(g, lo, hi), F.lit(i)) for i, ((g, _), lo, hi, _) in enumerate(reads)]
+            picked = rows.select(F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t"), "v")
+            values = {}
+            for r in picked.collect():  # at most RANGE_ROWS rows for each read range
+                values.setdefault(r["t"], []).append(r["v"])
+            for i, (key, _, _, seen) in enumerate(reads):
+                found[key] = sorted(values[i])[key[1] - seen]
+    return found
+
+
+def exact_quantiles(df, value, probs, group=None):
+    """Quantiles with linear interpolation between order statistics, as ``percentile`` gives them;
+    a table of (group,) q0, q1, ... with one row per group."""
+    keys = [group] if group else []
+    gk = F.col(group) if group else F.lit(None)
+    sizes = {r["g"]: r["n"] for r in df.where(F.col(value).isNotNull()).groupBy(gk.alias("g")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    wanted = {g: sorted({int(math.floor((n - 1) * p)) for p in probs} | {min(n - 1, int(math.floor((n - 1) * p)) + 1) for p in probs}) for g, n in sizes.items()}
+    stats = order_statistics(df, value, wanted, group)
+    out = []
+    for g, n in sizes.items():
+        row = [g] if group else []
+        for p in probs:
+            position = (n - 1) * p
+            lower = int(math.floor(position))
+            higher = min(n - 1, lower + 1)
+            a, b = stats[g, lower], stats[g, higher]
+            # the same arithmetic as Spark's percentile
+            row.append((higher - position) * a + (position - lower) * b if higher != lower else a)
+        out.append(tuple(row))
+    schema = ", ".join([*(f"{k} {dict(df.dtypes)[k]}" for k in keys), *(f"q{i} double" for i in range(len(probs)))])
+    return df.sparkSession.createDataFrame(out, schema)
+
+
 def histogram(df, value, bins, group=None):
     """Equal-width bins between the column's minimum and maximum; the last bin is closed.
 
@@ -100,9 +187,8 @@ def histogram(df, value, bins, group=None):
 def box_stats(df, value, group):
     """Quartiles, 1.5 IQR whiskers and number of outliers per group."""
     counts = _value_rows(df, value, [group])
-    quartiles = counts.groupBy(group).agg(
-        F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("rows")).alias("q")
-    )
+    # one row per group, from exact order statistics
+    quartiles = F.broadcast(exact_quantiles(df, value, [0.25, 0.5, 0.75], group).select(group, F.array("q0", "q1", "q2").alias("q")))
     q1, median, q3 = F.col("q")[0], F.col("q")[1], F.col("q")[2]
     low_fence, high_fence = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     inside = (F.col("value") >= low_fence) & (F.col("value") <= high_fence)
