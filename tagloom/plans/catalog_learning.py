@@ -429,12 +429,15 @@ def threshold_tune(spark, root):
 @query(
     "apply_threshold",
     "tweet_id b, pred_class_id b",
-    """SELECT tweet_id, CASE WHEN prob_hate >= 0.3 THEN 0 WHEN prob_offensive >= prob_neither THEN 1
-         ELSE 2 END AS pred_class_id FROM scored""",
-    [SCORED],
+    """SELECT tweet_id, CASE WHEN prob_hate >= (SELECT threshold FROM threshold_f1 ORDER BY round(f1_macro, 12) DESC, i LIMIT 1) THEN 0
+         WHEN prob_offensive >= prob_neither THEN 1 ELSE 2 END AS pred_class_id FROM scored""",
+    [SCORED, THRESHOLDS],
 )
 def apply_threshold(spark, root):
-    return evaluate.apply_threshold(src.scored_items(spark, root), 0.3)
+    """The class-0 threshold tuned on the scored rows (threshold_tune), applied to them."""
+    rows = scored(spark, root)
+    tuned = evaluate.tune_threshold(rows).first()["threshold"]
+    return evaluate.apply_threshold(src.scored_items(spark, root), tuned)
 
 
 @query(
