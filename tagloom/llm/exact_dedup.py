@@ -27,10 +27,10 @@ SENT_GROUPS = 100_000
 
 CANDIDATES = "owner long, key long, text string, best long, copies long"
 ARROW_CANDIDATES = pa.schema([("owner", pa.int64()), ("key", pa.int64()), ("text", pa.string()), ("best", pa.int64()), ("copies", pa.int64())])
-DIRECTORY = "owner long, prefix long, depth int, path string, groups array<struct<text_sha256: string, keep_id: long, group_size: long>>"
+DIRECTORY = "owner long, own_bits int, prefix long, depth int, path string, groups array<struct<text_sha256: string, keep_id: long, group_size: long>>"
 ARROW_DIRECTORY = pa.schema(
     [
-        ("owner", pa.int64()), ("prefix", pa.int64()), ("depth", pa.int32()), ("path", pa.string()),
+        ("owner", pa.int64()), ("own_bits", pa.int32()), ("prefix", pa.int64()), ("depth", pa.int32()), ("path", pa.string()),
         ("groups", pa.list_(pa.struct([("text_sha256", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64())]))),
     ]
 )
@@ -152,7 +152,7 @@ def build_index(docs, folder, hash_bits=HASH_BITS, capacity=BUCKET_TEXTS, capaci
                 path = f"{folder}/{owner}-{bucket.prefix}-{bucket.depth}-{fresh_name()}.bucket"
                 write_file(path, to_bytes(entries))
                 groups = [{"text_sha256": hashlib.sha256(t.encode()).hexdigest(), "keep_id": None if best == NO_ID else best, "group_size": n} for _, t, best, n in entries if n > 1]
-                for name, value in zip(ARROW_DIRECTORY.names, (owner, bucket.prefix, bucket.depth, path, groups)):
+                for name, value in zip(ARROW_DIRECTORY.names, (owner, own_bits, bucket.prefix, bucket.depth, path, groups)):
                     rows[name].append(value)
             return pa.RecordBatch.from_pydict(rows, schema=ARROW_DIRECTORY)
 
@@ -191,11 +191,10 @@ def look_up(directory, texts, hash_bits=HASH_BITS):
 
     ``texts`` is a DataFrame with a column ``text``; texts that the index lacks get nulls.
     """
-    parts = directory.agg(F.max("owner")).first()[0]
-    if parts is None:
+    # The split of a key into owner and bucket bits is the one the index was built with, stored in its directory.
+    own_bits = directory.agg(F.max("own_bits")).first()[0]
+    if own_bits is None:
         return texts.select("text", F.lit(None).cast("long").alias("keep_id"), F.lit(None).cast("long").alias("group_size"))
-    owner_bits = min(hash_bits, max(1, (8 * int(directory.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
-    own_bits = hash_bits - owner_bits
 
     def keyed(batches):
         for batch in batches:

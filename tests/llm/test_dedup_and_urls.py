@@ -53,6 +53,20 @@ def test_index_answers_from_its_files(documents, spark):
     assert {r.text: (r.keep_id, r.group_size) for r in found} == want | {"not there": (None, None)}
 
 
+def test_look_up_after_the_session_changed(documents, spark):
+    """The owner bits come from the stored directory, not from the session's shuffle setting."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    index = exact_dedup.build_index(documents, fresh_dir(spark, "index"), capacity=3)
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    want = {text: (keep, size) for (_, text), (_, keep, size, _, _) in zip(rows, plain_groups(rows))}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(8 * int(before)))
+        found = exact_dedup.look_up(index, documents.select("text").distinct()).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {r.text: (r.keep_id, r.group_size) for r in found} == want
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 63), st.sampled_from("abc")), max_size=60), st.integers(1, 4))
 def test_directory(entries, capacity):
