@@ -122,6 +122,22 @@ def test_training_lowers_the_loss():
     assert np.mean(losses[-5:]) < 0.5 * np.mean(losses[:5])
 
 
+def test_every_learning_window_is_trained_on(spark):
+    model = _small_model()
+    before = {n: v.copy() for n, v in model.p.items()}
+    rng = np.random.default_rng(3)
+    lengths = [0, 5, 63, 64, 65, 200] + [20] * 9000  # more rows and windows than the former bounds of 3,000 and 6,000
+    rows = [(i % 5 == 0, [int(x) for x in rng.integers(0, 40, n)]) for i, n in enumerate(lengths)]
+    ids = spark.createDataFrame(rows, "held_out boolean, ids array<int>").repartition(3)
+    want = sum(-(-(len(x) + 1) // lm.WINDOW) for h, x in rows if not h)
+    assert lm.fit_all(ids, model) == [want] * 3 == [want] * lm.MOST_PASSES
+    assert all((model.p[n] != before[n]).any() for n in before)
+    cut = model.cut([np.array(x, dtype=np.int64) for _, x in rows[:6]])
+    assert (cut[:, 1:] >= 0).sum() == sum(len(x) + 1 for _, x in rows[:6])
+    none = _small_model()
+    assert lm.fit_all(ids.limit(0), none) == [0]
+
+
 def _brute_base(texts, ids):
     words = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))) for t in texts]
     learn = [w for w, i in zip(words, ids) if i is None or __import__("zlib").crc32(str(i).encode()) % 7 != 2]
