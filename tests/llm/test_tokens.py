@@ -130,3 +130,21 @@ def test_token_shards(source, request):
     assert sorted(p for r in found for p in r.places) == [i for i, x in enumerate(flat) if x == token]
     digests = wavelet.read_documents(shards, content=False).collect()
     assert sorted(r.ids_crc32 for r in digests) == sorted(zlib.crc32(np.array(i, dtype="<u4").tobytes()) for i in ids)
+
+
+def test_words_of_latin_letters_and_trailing_signs():
+    import pyarrow as pa
+    import public_tokenizers
+
+    from tagloom.llm.encoding import TRAILING, WordEncoder
+
+    letters = [chr(c) for c in range(0x21, 0x250) if chr(c).isalpha()]
+    texts = [form for c in letters for form in (c, c + c, "Ab" + c + ".,", "x" + c + "###", " " + c + "b;")]
+    texts += [word + sign * n + end for word in ("x", "1", "x²", "don't", "<|endoftext|>") for sign in TRAILING for n in (1, 2) for end in ("", "'s", "\ny")]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        encoder = WordEncoder(public_tokenizers.path(name))
+        for _ in range(2):  # words met first, then words remembered
+            ids, ends = encoder.encode(pa.array(texts))
+            begins = [0, *ends[:-1]]
+            want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+            assert [t for t, a, b, w in zip(texts, begins, ends, want) if list(ids[a:b]) != w.ids] == []
