@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from tagloom.llm import lexical_search
 from tagloom.llm import lm_scoring as lm
 from tagloom.llm.lexical_search import search
 from tagloom.llm.whitening import whiten
@@ -221,6 +222,34 @@ def test_search_equals_brute_force(spark):
     assert got == want
 
 
+def test_search_stores_a_row_for_each_document(spark, monkeypatch):
+    """The terms of a document stay in its row: nothing is written or shuffled for each (document, term)."""
+    written = {}
+
+    def spy(df, name):
+        written[name] = kept = stage(df, name)
+        return kept
+
+    stage = lexical_search.stage
+    monkeypatch.setattr(lexical_search, "stage", spy)
+    docs = spark.createDataFrame([(i, f"a b c d{i % 7} a") for i in range(500)] + [(500, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a d1 d2"), (2, "b c zz")], "item_id long, text string")
+    rows = sorted(tuple(r) for r in search(docs, items).collect())
+    assert rows == sorted(_brute_search([tuple(r) for r in docs.collect()], [tuple(r) for r in items.collect()]))
+    per_document = [df.count() for name, df in written.items() if "doc_id" in df.columns]
+    assert per_document and max(per_document) <= 501
+
+
+def test_terms_counted_alike_with_and_without_a_shuffle(spark):
+    docs = spark.createDataFrame([(1, "b A a, zz"), (2, None), (3, "none here"), (None, "a")], "doc_id long, text string")
+    numbered = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "term string, t int")
+
+    def rows(**options):
+        return sorted((r.doc_id or 0, r.n, list(r.t), list(r.tf)) for r in lexical_search.counted(docs, numbered, **options).collect())
+
+    assert rows() == rows(looked_up=2) == [(0, 1, [0], [1]), (1, 4, [0, 1], [2, 1]), (2, 0, [], []), (3, 2, [], [])]
+
+
 def test_search_empty_tables(spark):
     d = spark.createDataFrame([], "doc_id long, text string")
     b = spark.createDataFrame([(1, "a b")], "item_id long, text string")
