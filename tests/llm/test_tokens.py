@@ -37,6 +37,14 @@ def test_ids_equal_the_library(path):
     assert by_words(path, texts) == plain(path, texts)
 
 
+def test_words_over_several_lines_are_cut_at_single_line_feeds():
+    texts = ["ab.\ncd ef\nGh,\nij\n", "ab\n\ncd x\r\ny \nz", "é.\nÉa o\n's <|endoftext|>\nab <|ENDOFTEXT|> <|endof\ntext|>", "a\t\nb\x85\nc\u0301 d\n\u0301e", "The the <|EndOfText|> END"]
+    assert [len(ENCODERS[path]._pieces("ab.\ncd")) for path in (BYTE, WORD)] == [4, 3]
+    for path in (BYTE, WORD):
+        for _ in range(2):  # from the cache too
+            assert by_words(path, texts) == plain(path, texts)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=60), min_size=1, max_size=4))
 def test_ids_of_any_text(texts):
