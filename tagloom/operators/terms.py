@@ -120,19 +120,30 @@ def with_terms(df, clean="clean_text", stop_words=ENGLISH_STOP_WORDS, out="terms
 
 
 def term_statistics(with_term_arrays, terms="terms"):
-    """Total and document frequency of every term, in one pass and one shuffle."""
-    marked = F.concat(
-        F.transform(F.col(terms), lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-        F.transform(
-            F.array_distinct(terms),
-            lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
-        ),
-    )
-    return (
-        with_term_arrays.select(F.inline(marked))
-        .groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
-    )
+    """Total and document frequency of every term, in one pass and one shuffle.
+
+    Every Arrow batch of texts becomes one row for each distinct term, so what is hashed and
+    shuffled is distinct terms of batches and not occurrences.
+    """
+
+    def count(batches):
+        for batch in batches:
+            lists = batch.column("terms")
+            found = pc.dictionary_encode(lists.flatten(), null_encoding="encode")
+            if not len(found):
+                continue
+            words, codes = found.dictionary, found.indices.to_numpy()
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            keys = np.repeat(np.arange(len(lengths)), lengths) * len(words) + codes
+            keys.sort()
+            first = np.ones(len(keys), dtype=bool)  # first occurrence of a term in its text
+            np.not_equal(keys[1:], keys[:-1], out=first[1:])
+            tf = np.bincount(codes, minlength=len(words))
+            df = np.bincount(keys[first] % len(words), minlength=len(words))
+            yield pa.RecordBatch.from_arrays([words, pa.array(tf), pa.array(df)], names=["term", "tf", "df"])
+
+    partial = with_term_arrays.select(F.col(terms).alias("terms")).mapInArrow(count, "term string, tf long, df long")
+    return partial.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def select_terms(statistics, min_df=5, max_features=5000):

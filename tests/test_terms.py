@@ -101,6 +101,17 @@ def test_statistics_use_one_shuffle(corpus):
     assert above_cache.count("Exchange") == 1
 
 
+def test_statistics_meet_as_distinct_terms_of_batches(spark):
+    """No row for each occurrence; null arrays, empty arrays and null terms count as in an explode."""
+    from plans import plan_of
+
+    rows = [(["a", "b", "a"],), (None,), ([],), (["b", None, None],)]
+    got = terms.term_statistics(spark.createDataFrame(rows, "terms array<string>").coalesce(1))
+    assert {r["term"]: (r["tf"], r["df"]) for r in got.collect()} == {"a": (2, 1), "b": (2, 2), None: (2, 1)}
+    plan = plan_of(got)
+    assert "MapInArrow" in plan and "Generate" not in plan
+
+
 def test_stop_words_are_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
 
