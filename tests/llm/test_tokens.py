@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tagloom.llm import packing, wavelet
+from tagloom.llm.common import wide_slices
 from tagloom.llm.encoding import WordEncoder
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -156,3 +157,35 @@ def test_words_of_latin_letters_and_trailing_signs():
             begins = [0, *ends[:-1]]
             want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
             assert [t for t, a, b, w in zip(texts, begins, ends, want) if list(ids[a:b]) != w.ids] == []
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_words_are_cut_together_into_fewer_pieces(path):
+    stems = ["ab", "x1", "Café", "İstanbulİ", "", "a\xa0", "日本"]
+    words = [stem + tail for stem in stems for tail in ("", ",", "!!", "\n", ".\nab,")]
+    texts = [" ".join(words[i:] + words[:i]) for i in range(len(words))] + ["", "\n", " ", None, "a  b,\nc d."]
+    assert by_words(path, texts) == plain(path, texts)
+    slots, ends, pieces = ENCODERS[path]._cut(pa.array(["ab", "ab,", "ab!!", "x.\nab,", "x,"]))
+    assert sorted(pieces) == sorted(["ab", "x", "", ",", "!!", ".", "", "\n"])
+    assert ends.tolist() == [3, 6, 9, 15, 18]
+    spelled = "".join(pieces[i] for i in slots)
+    assert spelled == "abab,ab!!x." + ("\n" if ENCODERS[path].spaced else "") + "ab,x,"
+
+
+def test_batches_are_joined_into_wide_slices():
+    batches = [pa.record_batch([pa.array([i, None]), pa.array(["x" * 50, "y" * 50])], names=["doc_id", "text"]) for i in range(10)]
+    slices = list(wide_slices(iter(batches), limit=300))
+    assert len(slices) <= 5 and pa.Table.from_batches(slices).equals(pa.Table.from_batches(batches))
+
+
+@pytest.mark.parametrize("size", [0, 1, wavelet.PART - 1, wavelet.PART, 2 * wavelet.PART + 5])
+def test_planes_are_parted_in_parts(size):
+    values = np.random.default_rng(size).integers(0, 50_000, size).astype(np.uint16)
+    given = values.copy()
+    matrix = wavelet.WaveletMatrix.build(values, 16)
+    assert (values == given).all() and (matrix.values() == given).all()
+    current = given
+    for level in range(16):
+        ones = ((current >> (15 - level)) & 1).astype(bool)
+        assert (np.packbits(ones, bitorder="little") == matrix.planes[level]).all() and matrix.zeros[level] == (~ones).sum()
+        current = np.concatenate([current[~ones], current[ones]])
