@@ -139,6 +139,79 @@ def test_every_learning_window_is_trained_on(spark):
     assert lm.fit_all(ids.limit(0), none) == [0]
 
 
+def _mass(model, prefix):
+    """Sum of the probabilities of all ids of the vocabulary, and of the end, after a prefix."""
+    return sum(10 ** (model.token_log10([np.array([*prefix, i])], np.float64)[0] - _end(model, [*prefix, i])) for i in range(40)) / _before(model, prefix) + 10 ** _end(model, prefix)
+
+
+def _end(model, ids):
+    inp, _ = model.classes_of(np.array(ids, dtype=np.int64))
+    codes = np.concatenate([inp[:1], model.code[np.array(ids, dtype=np.int64)]])
+    return model.forward(codes[None])[0][-1][0] / math.log(10)
+
+
+def _before(model, prefix):
+    return 10 ** (model.token_log10([np.array(prefix)], np.float64)[0] - _end(model, prefix))
+
+
+def test_ids_outside_the_classes_are_learned_by_what_precedes_them():
+    """Ids far down the counts follow each other in a fixed order: each is told by the one before it."""
+    model = _small_model(seed=4)
+    cycle = [20, 31, 25, 38, 29]
+    untrained = model.token_log10([np.array(cycle * 6)], np.float64)[0]
+    model.fit(model.cut([np.array((cycle * 40)[i:]) for i in range(30)]), epochs=30)
+    trained = model.token_log10([np.array(cycle * 6)], np.float64)[0]
+    assert trained > untrained / 10
+    assert _mass(model, [20, 31, 25]) == pytest.approx(1.0, abs=1e-9)
+    after, other = ([np.array([*cycle * 3, i])] for i in (20, 38))
+    assert model.token_log10(after)[0] - _end(model, after[0]) > model.token_log10(other)[0] - _end(model, other[0]) + 1
+
+
+def test_gradients_of_single_ids_and_branchings_match_differences():
+    model = _small_model()
+    rng = np.random.default_rng(1)
+    for n, table in model.rows.items():
+        model.rows[n] = table + rng.normal(0, 0.3, table.shape)
+    codes = np.concatenate([np.arange(model.k + 3), model.k + 3 + np.arange(6, 40)])
+    inp, target = rng.choice(codes, (2, 30)), rng.choice(codes[codes != model.k + 2], (2, 30))
+    valid = (rng.random((2, 30)) > 0.2).astype(float)
+    _, g = model.gradients(inp, target, valid)
+    for name, table in model.rows.items():
+        used, uses, moved = g[name]
+        assert len(used) > 5 and uses.min() > 0
+        for j in rng.choice(len(used), 6):
+            col = int(rng.integers(table.shape[1]))
+            keep = table[used[j], col]
+            table[used[j], col] = keep + 1e-6
+            up, _ = model.gradients(inp, target, valid)
+            table[used[j], col] = keep - 1e-6
+            down, _ = model.gradients(inp, target, valid)
+            table[used[j], col] = keep
+            assert abs((up - down) / 2e-6 - moved[j, col]) < 1e-5
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 40])
+def test_tree_starts_at_the_weights(n):
+    weights = np.arange(1, n + 1)[::-1].astype(float) ** 2
+    tree = lm.Tree(weights)
+    for i in range(n):
+        step, side = tree.step[tree.ptr[i] : tree.ptr[i + 1]], tree.side[tree.ptr[i] : tree.ptr[i + 1]]
+        p = np.prod(1 / (1 + np.exp(-side * tree.start[step])))
+        assert p == pytest.approx(weights[i] / weights.sum())
+
+
+def test_vectors_of_single_ids_are_averaged_by_their_uses(spark):
+    """Two tasks that use different ids: each id moves as the task that used it moved it."""
+    rng = np.random.default_rng(3)
+    texts = [[int(x) for x in rng.choice(part, 50)] for part in ([20, 21, 22], [30, 31, 32]) for _ in range(400)]
+    both = spark.createDataFrame([(i < 400, False, t) for i, t in enumerate(texts)], "first boolean, held_out boolean, ids array<int>")
+    model, alone = _small_model(), _small_model()
+    lm.fit_all(both.where("first").coalesce(1).union(both.where("NOT first").coalesce(1)), model)
+    start = alone.rows["in"].copy()
+    assert (model.rows["in"][[20, 21, 22, 30, 31, 32]] != start[[20, 21, 22, 30, 31, 32]]).any(axis=1).all()
+    assert (model.rows["in"][[25, 35]] == start[[25, 35]]).all()
+
+
 def _brute_base(texts, ids):
     words = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))) for t in texts]
     learn = [w for w, i in zip(words, ids) if i is None or __import__("zlib").crc32(str(i).encode()) % 7 != 2]
